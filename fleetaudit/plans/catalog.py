@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from fleetaudit.plans import lifecycle  # noqa: F401
+from fleetaudit.plans import fields, integrity, lifecycle  # noqa: F401
 from fleetaudit.plans.registry import CHECKS, QUERIES  # noqa: F401
