@@ -12,6 +12,7 @@ from fleetaudit.functions.scalars import starts_with_any
 # One token per match: a closed set, or any single character (an unclosed "[" is plain text).
 TOKEN = r"(\[!?+\]?+[^\]]*\]|.)"
 SET_PART = r"(?s)(.-.|.)"
+NOT_WORD_NOR_RANGE_DASH = r"(?s)(?!(?<=^.)-(?=.$))([^A-Za-z0-9_])"
 NEVER = r"(?!)"
 _WORD = re.compile(r"[A-Za-z0-9_]")
 
@@ -20,37 +21,18 @@ def tokens(pattern: Column) -> Column:
     return F.regexp_extract_all(pattern, F.lit("(?s)" + TOKEN), F.lit(1))
 
 
-def _plain(char: Column) -> Column:
-    return F.when(F.rlike(char, F.lit("^[A-Za-z0-9_]$")), char).otherwise(F.concat(F.lit("\\"), char))
-
-
-def _set_regex(token: Column) -> Column:
-    """A closed set; a backward range such as ``z-a`` in it stands for no character."""
-    negated = F.substring(token, 2, 1) == "!"
-    body = F.substring(token, F.when(negated, 3).otherwise(2), F.length(token) - F.when(negated, 3).otherwise(2))
-    parts = F.regexp_extract_all(body, F.lit(SET_PART), F.lit(1))
-    first, last = (lambda p: F.left(p, F.lit(1))), (lambda p: F.right(p, F.lit(1)))
-    kept = F.filter(parts, lambda p: ~((F.length(p) == 3) & (first(p) > last(p))))
-    inner = F.array_join(
-        F.transform(
-            kept,
-            lambda p: F.when(
-                F.length(p) == 3, F.concat(_plain(first(p)), F.lit("-"), _plain(last(p)))
-            ).otherwise(_plain(p)),
-        ),
-        "",
-    )
-    caret = F.when(negated, F.lit("^")).otherwise(F.lit(""))
-    empty = F.when(negated, F.lit(".")).otherwise(F.lit(NEVER))
-    return F.when(F.size(kept) == 0, empty).otherwise(F.concat(F.lit("["), caret, inner, F.lit("]")))
-
-
 def _token_regex(token: Column) -> Column:
+    # A part of a set is one character or a range; a backward range stands for no character.
+    parts = F.regexp_extract_all(F.regexp_extract(token, r"(?s)^\[!?(.*)\]$", 1), F.lit(SET_PART), F.lit(1))
+    kept = F.filter(parts, lambda p: F.left(p, F.lit(1)) <= F.right(p, F.lit(1)))
+    inner = F.array_join(F.transform(kept, lambda p: F.regexp_replace(p, NOT_WORD_NOR_RANGE_DASH, r"\\$1")), "")
+    negated = F.startswith(token, F.lit("[!"))
     return (
         F.when(token == "*", ".*")
         .when(token == "?", ".")
-        .when(F.length(token) > 1, _set_regex(token))
-        .otherwise(_plain(token))
+        .when(F.length(token) == 1, F.regexp_replace(token, "([^A-Za-z0-9_])", r"\\$1"))
+        .when(inner == "", F.when(negated, ".").otherwise(NEVER))
+        .otherwise(F.concat(F.when(negated, "[^").otherwise("["), inner, F.lit("]")))
     )
 
 

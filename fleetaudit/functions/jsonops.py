@@ -126,28 +126,35 @@ def apply_conditions(current: Column, updates: Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def _descend(start: Column, max_depth: int, children: Callable[[Column], Column], emit: Callable[[Column], Column]) -> Column:
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _descend(text: Column, start: Column, max_depth: int, step: Callable[[Column], Column]) -> Column:
     """Walk a document level by level inside one row.
 
-    ``start`` is the array of nodes of the first level, ``children`` maps a node to
-    the array of its child nodes and ``emit`` to the array of texts it contributes.
-    A document deeper than ``max_depth`` fails the job instead of losing values.
+    ``start`` is the array of nodes of the first level; ``step`` maps the nodes of a level
+    to a struct of the next ``level`` and of the texts ``found`` on this one. There are as
+    many rounds as the text has opening brackets, but no more than ``max_depth``: a deeper
+    document fails the job instead of losing values.
     """
+    brackets = F.length(text) - F.length(F.translate(text, "{[", ""))
+    rounds = F.greatest(F.lit(1), F.least(F.lit(max_depth), F.coalesce(brackets, F.lit(1))))
     state = F.struct(start.alias("level"), F.array().cast("array<string>").alias("found"))
     walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(max_depth)),
+        F.sequence(F.lit(1), rounds),
         state,
-        lambda s, _: F.struct(
-            F.flatten(F.transform(s["level"], children)).alias("level"),
-            F.concat(s["found"], F.flatten(F.transform(s["level"], emit))).alias("found"),
+        lambda s, _: _let(
+            step(s["level"]), lambda n: F.struct(n["level"].alias("level"), F.concat(s["found"], n["found"]).alias("found"))
         ),
     )
     too_deep = F.raise_error(F.lit(f"document is nested deeper than {max_depth} levels")).cast("array<string>")
-    return F.when(F.size(walked["level"]) > 0, too_deep).otherwise(walked["found"])
+    return _let(walked, lambda w: F.when(F.size(w["level"]) > 0, too_deep).otherwise(w["found"]))
 
 
 def mapping_paths(properties: Column, max_depth: int = 20) -> Column:
-    """Dotted field paths of a mapping (VARIANT): object parents, leaves and multi-fields."""
+    """Dotted field paths of a mapping's text: object parents, leaves and multi-fields."""
 
     def nodes(obj: Column, prefix: Column) -> Column:
         entries = F.map_entries(F.coalesce(obj, empty_object()))
@@ -158,32 +165,29 @@ def mapping_paths(properties: Column, max_depth: int = 20) -> Column:
         subs = F.map_keys(F.coalesce(as_object(n["node"], "fields"), empty_object()))
         return F.concat(F.array(n["path"]), F.transform(subs, lambda sub: F.concat(n["path"], F.lit("."), sub)))
 
-    found = _descend(
-        nodes(as_object(properties), F.lit("")),
-        max_depth,
-        lambda n: nodes(as_object(n["node"], "properties"), F.concat(n["path"], F.lit("."))),
-        paths,
-    )
-    return F.array_distinct(found)
+    def step(level: Column) -> Column:
+        below = F.transform(level, lambda n: nodes(as_object(n["node"], "properties"), F.concat(n["path"], F.lit("."))))
+        return F.struct(F.flatten(below).alias("level"), F.flatten(F.transform(level, paths)).alias("found"))
+
+    return F.array_distinct(_descend(properties, nodes(as_object(parsed(properties)), F.lit("")), max_depth, step))
 
 
 def values_of_key(document: Column, key: str = "field", max_depth: int = 32) -> Column:
-    """Every text held by ``key`` at any depth of a VARIANT, repeats kept."""
+    """Every text held by ``key`` at any depth of a JSON text, repeats kept."""
     is_hit = lambda e: (e["key"] == key) & as_text(e["value"]).isNotNull()
 
-    def entries(node: Column) -> Column:
-        return F.map_entries(F.coalesce(as_object(node), empty_object()))
+    def step(level: Column) -> Column:
+        entries = F.flatten(F.transform(level, lambda n: F.map_entries(F.coalesce(as_object(n), empty_object()))))
+        items = F.flatten(F.transform(level, lambda n: F.coalesce(as_list(n), F.array().cast(LIST))))
 
-    def children(node: Column) -> Column:
-        inside = F.transform(F.filter(entries(node), lambda e: ~is_hit(e)), lambda e: e["value"])
-        return F.concat(inside, F.coalesce(as_list(node), F.array().cast(LIST)))
+        def split(e: Column) -> Column:
+            inside = F.transform(F.filter(e, lambda x: ~is_hit(x)), lambda x: x["value"])
+            found = F.transform(F.filter(e, is_hit), lambda x: as_text(x["value"]))
+            return F.struct(F.concat(inside, items).alias("level"), found.alias("found"))
 
-    return _descend(
-        F.array_compact(F.array(document)),
-        max_depth,
-        children,
-        lambda node: F.transform(F.filter(entries(node), is_hit), lambda e: as_text(e["value"])),
-    )
+        return _let(entries, split)
+
+    return _descend(document, F.array_compact(F.array(parsed(document))), max_depth, step)
 
 
 # ---------------------------------------------------------------------------

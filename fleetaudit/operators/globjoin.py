@@ -11,8 +11,10 @@ exact      ``logs``                the whole name
 prefix     ``logs-*``              the first characters
 suffix     ``*-old``               the last characters
 any        ``*``                   none, every name matches
-head       ``logs-*-old``          the first characters, then the regex
-gram       ``*mid*``, ``?ab*c``    first 3 characters of the longest fixed run, then the regex
+ends       ``logs-*-old``          the first characters, then the last ones are compared
+inner      ``*mid*``               its first 3 characters, then the whole text is looked for
+head       ``logs-?*``             the first characters, then the regex
+gram       ``?ab*c``               first 3 characters of the longest fixed run, then the regex
 shape      ``??``, ``[ab]*``       least name length, then the regex
 =========  ======================  ==========================================
 
@@ -31,6 +33,7 @@ from fleetaudit.functions.globs import glob_regex, tokens
 
 GRAM = 3
 CERTAIN = ("exact", "prefix", "suffix", "any")
+FROM_START = ("prefix", "head", "ends")
 ANCHOR = ("kind", "size", "anchor")
 
 
@@ -44,21 +47,24 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     marks = F.col("marks")
     longest = F.array_max(F.transform(F.regexp_extract_all(marks, F.lit("(L+)"), F.lit(1)), F.length))
     head = F.length(F.regexp_extract(marks, "^L*", 0))
+    kind_of = F.col("kind")
     tail = F.length(F.regexp_extract(marks, "L*$", 0))
     kind = (
         F.when(F.rlike(marks, F.lit("^L*$")), "exact")
         .when(F.rlike(marks, F.lit("^A+$")), "any")
         .when(F.rlike(marks, F.lit("^L+A+$")), "prefix")
         .when(F.rlike(marks, F.lit("^A+L+$")), "suffix")
+        .when(F.rlike(marks, F.lit("^L+A+L+$")), "ends")
+        .when(F.rlike(marks, F.lit("^A+L+A+$")), "inner")
         .when(F.rlike(marks, F.lit("^L")), "head")
         .when(F.contains(marks, F.lit("L")), "gram")
         .otherwise("shape")
     )
     size = (
-        F.when(F.col("kind").isin("prefix", "head"), head)
-        .when(F.col("kind") == "suffix", tail)
-        .when(F.col("kind") == "gram", F.least(longest, F.lit(GRAM)))
-        .when(F.col("kind") == "shape", F.length(F.replace(marks, F.lit("A"), F.lit(""))))
+        F.when(kind_of.isin(*FROM_START), head)
+        .when(kind_of == "suffix", tail)
+        .when(kind_of.isin("gram", "inner"), F.least(longest, F.lit(GRAM)))
+        .when(kind_of == "shape", F.length(F.replace(marks, F.lit("A"), F.lit(""))))
         .otherwise(0)
     )
     run_start = F.expr("locate(repeat('L', array_max(transform(regexp_extract_all(marks, '(L+)', 1), r -> length(r)))), marks)")
@@ -67,12 +73,18 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
         return F.array_join(F.slice(toks, start, length), "")
 
     anchor = (
-        F.when(F.col("kind") == "exact", F.array_join(toks, ""))
-        .when(F.col("kind").isin("prefix", "head"), piece(1, F.col("size")))
-        .when(F.col("kind") == "suffix", piece(F.size(toks) - F.col("size") + 1, F.col("size")))
-        .when(F.col("kind") == "gram", piece(run_start, F.col("size")))
+        F.when(kind_of == "exact", F.array_join(toks, ""))
+        .when(kind_of.isin(*FROM_START), piece(1, F.col("size")))
+        .when(kind_of == "suffix", piece(F.size(toks) - F.col("size") + 1, F.col("size")))
+        .when(kind_of.isin("gram", "inner"), piece(run_start, F.col("size")))
         .otherwise("")
     )
+    # What is left to compare once the anchors agree; NULL when nothing is.
+    rest = (
+        F.when(kind_of == "ends", piece(F.size(toks) - tail + 1, tail))
+        .when(kind_of == "inner", piece(run_start, longest))
+        .when(~kind_of.isin(*CERTAIN), glob_regex(F.col("pattern")))
+    )
     return (
         patterns.select(*scope, F.col(column).alias("pattern"))
         .filter(F.col("pattern").isNotNull())
@@ -82,7 +94,7 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
         .withColumn("kind", kind)
         .withColumn("size", size)
         .withColumn("anchor", anchor)
-        .withColumn("regex", F.when(~F.col("kind").isin(*CERTAIN), glob_regex(F.col("pattern"))))
+        .withColumn("rest", rest)
         .drop("toks", "marks")
     )
 
@@ -107,9 +119,9 @@ def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str])
             F.when(kind == "exact", one(name))
             .when(kind == "any", one(F.lit("")))
             .when(~long_enough, nothing)
-            .when(kind.isin("prefix", "head"), one(F.left(name, size)))
+            .when(kind.isin(*FROM_START), one(F.left(name, size)))
             .when(kind == "suffix", one(F.right(name, size)))
-            .when(kind == "gram", grams)
+            .when(kind.isin("gram", "inner"), grams)
             .otherwise(one(F.lit("")))
         )
         return F.transform(found, lambda text: F.struct(kind.alias("kind"), size.alias("size"), text.alias("anchor")))
@@ -122,6 +134,26 @@ def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str])
     )
 
 
+def _fits() -> Column:
+    """Does a name that shares a pattern's anchor match the pattern?"""
+    name, rest = F.col("name"), F.col("rest")
+    fixed = F.length(F.col("anchor")) + F.length(rest)
+    return (
+        F.when(rest.isNull(), True)
+        .when(F.col("kind") == "ends", F.endswith(name, rest) & (F.length(name) >= fixed))
+        .when(F.col("kind") == "inner", F.contains(name, rest))
+        .otherwise(F.rlike(name, rest))
+    )
+
+
+def _salts(count: int) -> Column:
+    return F.array(*[F.lit(i) for i in range(count)])
+
+
+def _salt_of_name(count: int) -> Column:
+    return F.pmod(F.xxhash64("name"), F.lit(count)).cast("int")
+
+
 def glob_pairs(
     patterns: DataFrame, names: DataFrame, pattern_column: str = "pattern", scope: Sequence[str] = (), salts: int = 8
 ) -> DataFrame:
@@ -132,11 +164,9 @@ def glob_pairs(
     ``names`` has one row per name.
     """
     anchored = anchored_patterns(patterns, pattern_column, scope)
-    salted = F.pmod(F.xxhash64("name"), F.lit(salts)).cast("int").alias("salt")
-    left = _anchored_names(names, anchored, scope).select("*", salted)
-    right = anchored.select("*", F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("salt"))
-    fits = F.col("regex").isNull() | F.expr("name RLIKE regex")
-    return left.join(right, [*scope, *ANCHOR, "salt"]).filter(fits).select(*scope, "pattern", "name")
+    left = _anchored_names(names, anchored, scope).withColumn("salt", _salt_of_name(salts))
+    right = anchored.withColumn("salt", F.explode(_salts(salts)))
+    return left.join(right, [*scope, *ANCHOR, "salt"]).filter(_fits()).select(*scope, "pattern", "name")
 
 
 def covered_patterns(
@@ -144,14 +174,19 @@ def covered_patterns(
 ) -> DataFrame:
     """The distinct patterns that match at least one name.
 
-    Where the anchor alone decides, names shrink to distinct anchors inside the map tasks
-    before they are shuffled. Only patterns that need their regex meet single names.
+    Where the anchor alone decides, the name is blanked out, so that names shrink to
+    distinct anchors inside the map tasks before they are shuffled. The others keep their
+    names and are spread over ``salts`` tasks; the semi join stops at the first match.
     """
     anchored = anchored_patterns(patterns, pattern_column, scope)
-    certain = anchored.filter(F.col("kind").isin(*CERTAIN))
-    answered = _anchored_names(names, certain, scope).select(*scope, *ANCHOR).distinct()
-    by_anchor = certain.join(answered, [*scope, *ANCHOR], "left_semi").select(*scope, "pattern")
-
-    uncertain = anchored.filter(~F.col("kind").isin(*CERTAIN))
-    by_regex = glob_pairs(uncertain.select(*scope, "pattern"), names, scope=scope, salts=salts).select(*scope, "pattern")
-    return by_anchor.unionByName(by_regex.distinct())
+    certain = F.col("kind").isin(*CERTAIN)
+    answered = (
+        _anchored_names(names, anchored, scope)
+        .withColumn("salt", F.when(certain, 0).otherwise(_salt_of_name(salts)))
+        .withColumn("name", F.when(certain, "").otherwise(F.col("name")))
+        .distinct()
+        .withColumnsRenamed({c: f"n_{c}" for c in (*scope, *ANCHOR, "salt")})
+    )
+    asked = anchored.withColumn("salt", F.explode(F.when(certain, _salts(1)).otherwise(_salts(salts))))
+    same = [F.col(c) == F.col(f"n_{c}") for c in (*scope, *ANCHOR, "salt")]
+    return asked.join(answered, [*same, _fits()], "left_semi").select(*scope, "pattern").distinct()

@@ -138,7 +138,7 @@ def referenced_fields(objects: DataFrame, scope: Sequence[str] = ()) -> DataFram
 
     def agg_uses(agg: Column) -> Column:
         context = F.format_string('agg "%s" (id: %s)', J.shown(agg, "type", "?"), J.shown(agg, "id", "?"))
-        custom = J.values_of_key(J.parsed(J.as_text(agg, "params", "json")))
+        custom = J.values_of_key(J.as_text(agg, "params", "json"))
         direct = F.array(use(J.as_text(agg, "params", "field"), context))
         written = F.transform(custom, lambda name: use(name, F.concat(context, F.lit(" custom JSON"))))
         return F.when(J.as_object(agg).isNotNull(), F.concat(direct, F.coalesce(written, none))).otherwise(none)
@@ -200,7 +200,7 @@ def flattened_mappings(mappings: DataFrame, scope: Sequence[str] = (), max_depth
     mapped = keyed.select(*scope, "index_name", "mapping_id")
     distinct = keyed.select(*scope, "mapping_id", "properties").dropDuplicates([*scope, "mapping_id"])
     paths = distinct.select(
-        *scope, "mapping_id", F.explode(J.mapping_paths(J.parsed(F.col("properties")), max_depth)).alias("path")
+        *scope, "mapping_id", F.explode(J.mapping_paths(F.col("properties"), max_depth)).alias("path")
     )
     return mapped, paths
 

@@ -130,8 +130,8 @@ def multi_field_parents(inputs):
 @query("mapping_paths", ("mapping_docs",), """, t AS (
 SELECT m.index_name, j.fullkey, j.type FROM mapping_docs m, json_tree(m.properties) j),
 n AS (SELECT index_name, fullkey, type, string_split(replace(fullkey, '$.', ''), '.') AS parts FROM t WHERE fullkey <> '$')
-SELECT DISTINCT index_name, array_to_string(list_filter(parts, (x, i) -> i % 2 = 1), '.') AS path FROM n
-WHERE len(parts) % 2 = 1 AND len(list_filter(parts, (x, i) -> i % 2 = 0 AND x NOT IN ('properties', 'fields'))) = 0
+SELECT DISTINCT index_name, array_to_string(list_filter(parts, lambda x, i: i % 2 = 1), '.') AS path FROM n
+WHERE len(parts) % 2 = 1 AND len(list_filter(parts, lambda x, i: i % 2 = 0 AND x NOT IN ('properties', 'fields'))) = 0
   AND (type = 'OBJECT' OR (len(parts) > 1 AND parts[-2] = 'fields'))""")
 def mapping_paths(inputs):
     mapped, paths = O.flattened_mappings(inputs("mapping_docs"))
@@ -142,7 +142,7 @@ def mapping_paths(inputs):
 SELECT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey, json_extract_string(j.atom, '$') AS field
 FROM agg_docs a, json_tree(a.doc) j WHERE j.key = 'field' AND j.type = 'VARCHAR'""")
 def nested_field_values(inputs):
-    values = F.explode(J.values_of_key(J.parsed(F.col("doc")))).alias("field")
+    values = F.explode(J.values_of_key(F.col("doc"))).alias("field")
     return inputs("agg_docs").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", values)
 
 

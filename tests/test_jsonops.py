@@ -13,10 +13,10 @@ def _one(spark, text, expr):
 def test_mapping_paths(spark):
     doc = {"a": {"type": "text", "fields": {"raw": {}, "kw": {}}}, "bad": 3,
            "o": {"properties": {"x": {"type": "long"}, "y": {"properties": {"z": {"fields": {"k": 1}}}}}}}
-    got = _one(spark, json.dumps(doc), lambda t: J.mapping_paths(J.parsed(t)))
+    got = _one(spark, json.dumps(doc), lambda t: J.mapping_paths(t))
     assert sorted(got) == ["a", "a.kw", "a.raw", "o", "o.x", "o.y", "o.y.z", "o.y.z.k"]
-    assert _one(spark, "{}", lambda t: J.mapping_paths(J.parsed(t))) == []
-    assert _one(spark, "[1]", lambda t: J.mapping_paths(J.parsed(t))) == []
+    assert _one(spark, "{}", lambda t: J.mapping_paths(t)) == []
+    assert _one(spark, "[1]", lambda t: J.mapping_paths(t)) == []
 
 
 def test_descent_fails_loudly_past_its_depth(spark):
@@ -24,16 +24,16 @@ def test_descent_fails_loudly_past_its_depth(spark):
     for i in range(6):
         doc = {f"p{i}": {"properties": doc}} if i else {"leaf": doc}
     text = json.dumps(doc)
-    assert len(_one(spark, text, lambda t: J.mapping_paths(J.parsed(t), max_depth=6))) == 6
+    assert len(_one(spark, text, lambda t: J.mapping_paths(t, max_depth=6))) == 6
     with pytest.raises(Exception, match="nested deeper"):
-        _one(spark, text, lambda t: J.mapping_paths(J.parsed(t), max_depth=3))
+        _one(spark, text, lambda t: J.mapping_paths(t, max_depth=3))
 
 
 def test_values_of_key(spark):
     doc = {"field": "a", "x": [{"field": {"field": "b"}}, {"field": 3}, {"y": {"field": "a"}}], "n": None}
-    got = _one(spark, json.dumps(doc), lambda t: J.values_of_key(J.parsed(t)))
+    got = _one(spark, json.dumps(doc), lambda t: J.values_of_key(t))
     assert sorted(got) == ["a", "a", "b"]
-    assert _one(spark, "{bad", lambda t: J.values_of_key(J.parsed(t))) == []
+    assert _one(spark, "{bad", lambda t: J.values_of_key(t)) == []
 
 
 def test_stripped_search_source(spark):
