@@ -79,6 +79,9 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
         .when(kind_of.isin("gram", "inner"), piece(run_start, F.col("size")))
         .otherwise("")
     )
+    # No NULLs in the join keys: the optimizer would push null checks, and with them copies of
+    # these expressions, down to the scan.
+    size, anchor = F.coalesce(size, F.lit(0)), F.coalesce(anchor, F.lit(""))
     # What is left to compare once the anchors agree; NULL when nothing is.
     rest = (
         F.when(kind_of == "ends", piece(F.size(toks) - tail + 1, tail))
@@ -99,7 +102,7 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     )
 
 
-def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str]) -> DataFrame:
+def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """Each name once per anchor that ``anchored`` could ask it for."""
     demand = anchored.select(F.coalesce(F.collect_set(F.struct("kind", "size")), F.array()).alias("d"))
     name = F.col("name")
@@ -128,9 +131,16 @@ def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str])
 
     return (
         names.filter(name != "")
-        .select(*scope, "name", demand.scalar().alias("demand"))
-        .select(*scope, "name", F.explode(F.flatten(F.transform("demand", answers))).alias("at"))
-        .select(*scope, "name", "at.*")
+        .select(*scope, "name", *carry, demand.scalar().alias("demand"))
+        .select(*scope, "name", *carry, F.explode(F.flatten(F.transform("demand", answers))).alias("at"))
+        .select(
+            *scope,
+            "name",
+            *carry,
+            F.coalesce("at.kind", F.lit("")).alias("kind"),
+            F.coalesce("at.size", F.lit(0)).alias("size"),
+            F.coalesce("at.anchor", F.lit("")).alias("anchor"),
+        )
     )
 
 
@@ -151,22 +161,27 @@ def _salts(count: int) -> Column:
 
 
 def _salt_of_name(count: int) -> Column:
-    return F.pmod(F.xxhash64("name"), F.lit(count)).cast("int")
+    return F.coalesce(F.pmod(F.xxhash64("name"), F.lit(count)).cast("int"), F.lit(0))
 
 
 def glob_pairs(
-    patterns: DataFrame, names: DataFrame, pattern_column: str = "pattern", scope: Sequence[str] = (), salts: int = 8
+    patterns: DataFrame,
+    names: DataFrame,
+    pattern_column: str = "pattern",
+    scope: Sequence[str] = (),
+    salts: int = 8,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """All pairs of a distinct pattern and a name it matches: ``scope, pattern, name``.
 
     One naming prefix often holds a large part of all names, so the rows of one anchor
     spread over ``salts`` tasks by a hash of the name; patterns are copied to each salt.
-    ``names`` has one row per name.
+    Every row of ``names`` is matched by itself and keeps the columns in ``carry``.
     """
     anchored = anchored_patterns(patterns, pattern_column, scope)
-    left = _anchored_names(names, anchored, scope).withColumn("salt", _salt_of_name(salts))
+    left = _anchored_names(names, anchored, scope, carry).withColumn("salt", _salt_of_name(salts))
     right = anchored.withColumn("salt", F.explode(_salts(salts)))
-    return left.join(right, [*scope, *ANCHOR, "salt"]).filter(_fits()).select(*scope, "pattern", "name")
+    return left.join(right, [*scope, *ANCHOR, "salt"]).filter(_fits()).select(*scope, "pattern", "name", *carry)
 
 
 def covered_patterns(

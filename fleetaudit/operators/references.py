@@ -3,7 +3,7 @@
 The chain is dashboard -> visualization -> search -> index pattern -> mapping. Tables:
 
 ``objects``   type, id, title            one row per saved object
-``edges``     src_type, src_id, pos, ref_type, ref_id
+``edges``     src_type, src_id, src_title, pos, ref_type, ref_id
 ``patterns``  id, title, time_field      the index patterns among the objects
 ``names``     name, index_name           every index, alias and data stream with the index behind it
 ``mapped``    index_name, mapping_id     indices with equal mappings share one id
@@ -71,18 +71,25 @@ def label(kind: Column, title: Column, ident: Column) -> Column:
 
 
 def pattern_index_pairs(titles: DataFrame, names: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Index behind every name a pattern title matches: ``title, index_name``."""
-    distinct_names = names.select(*scope, "name").distinct()
-    pairs = glob_pairs(titles, distinct_names, "title", scope).withColumnRenamed("pattern", "title")
-    # A name that is itself an index stands for itself; aliases and streams lead to theirs.
-    behind = names.select(*scope, "name", F.coalesce("index_name", "name").alias("index_name")).distinct()
-    return pairs.join(behind, [*scope, "name"]).select(*scope, "title", "index_name").distinct()
+    """Index behind every name a pattern title matches: ``title, index_name``.
+
+    A name that is itself an index stands for itself; aliases and streams lead to theirs.
+    """
+    behind = names.select(*scope, "name", F.coalesce("index_name", "name").alias("index_name"))
+    pairs = glob_pairs(titles, behind, "title", scope, carry=["index_name"])
+    return pairs.select(*scope, F.col("pattern").alias("title"), "index_name").distinct()
 
 
 def pattern_mappings(titles: DataFrame, names: DataFrame, mapped: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Distinct mappings behind every pattern title: ``title, mapping_id``."""
-    pairs = pattern_index_pairs(titles, names, scope)
-    return pairs.join(mapped, [*scope, "index_name"]).select(*scope, "title", "mapping_id").distinct()
+    """Distinct mappings behind every pattern title: ``title, mapping_id``.
+
+    Names get their mapping before they meet the patterns. A broad pattern then leaves the
+    join as a few mappings per task, and its long list of indices is never shuffled.
+    """
+    behind = names.select(*scope, "name", F.coalesce("index_name", "name").alias("index_name"))
+    with_mapping = behind.join(mapped, [*scope, "index_name"]).select(*scope, "name", "mapping_id")
+    pairs = glob_pairs(titles, with_mapping, "title", scope, carry=["mapping_id"])
+    return pairs.select(*scope, F.col("pattern").alias("title"), "mapping_id").distinct()
 
 
 def pattern_fields(titles: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -100,13 +107,13 @@ def absent_fields(
     paths that somebody asks for are joined to the titles.
     """
     needed = needed.select(*scope, "title", "field").distinct()
-    behind = pattern_mappings(needed.select(*scope, "title"), names, mapped, scope)
-    with_fields = paths.select(*scope, "mapping_id").distinct()
-    known = behind.join(with_fields, [*scope, "mapping_id"], "left_semi").select(*scope, "title").distinct()
+    with_fields = mapped.join(paths.select(*scope, "mapping_id").distinct(), [*scope, "mapping_id"], "left_semi")
+    behind = pattern_mappings(needed.select(*scope, "title"), names, with_fields, scope)
     asked = paths.withColumnRenamed("path", "field").join(
         needed.select(*scope, "field").distinct(), [*scope, "field"], "left_semi"
     )
     present = behind.join(asked, [*scope, "mapping_id"]).select(*scope, "title", "field").distinct()
+    known = behind.select(*scope, "title").distinct()
     return needed.join(present, [*scope, "title", "field"], "left_anti").join(known, [*scope, "title"], "left_semi")
 
 
@@ -183,12 +190,12 @@ def broken_references(resolved: DataFrame, scope: Sequence[str] = ()) -> DataFra
     """References to nothing: any kind from a dashboard, patterns and searches from its children."""
     of_child = F.col("src_type").isin(*CHILD_TYPES) & F.col("ref_type").isin("index-pattern", "search")
     return resolved.filter(~F.col("found") & ((F.col("src_type") == "dashboard") | of_child)).select(
-        *scope, "src_type", "src_id", "pos", "ref_type", "ref_id"
+        *scope, "src_type", "src_id", "src_title", "pos", "ref_type", "ref_id"
     )
 
 
 def resolved_patterns(resolved: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Index pattern each visualization or search reads: the first one its references offer."""
+    """Index pattern each visualization or search reads, ``type, id, title, pattern_id``: the first one its references offer."""
     offered = resolved.filter(
         F.col("src_type").isin(*CHILD_TYPES)
         & F.col("ref_type").isin("index-pattern", "search")
@@ -196,7 +203,7 @@ def resolved_patterns(resolved: DataFrame, scope: Sequence[str] = ()) -> DataFra
         & S.is_present(F.col("offers"))
     )
     return offered.groupBy(*scope, F.col("src_type").alias("type"), F.col("src_id").alias("id")).agg(
-        F.min_by("offers", "pos").alias("pattern_id")
+        F.first("src_title").alias("title"), F.min_by("offers", "pos").alias("pattern_id")
     )
 
 
@@ -244,14 +251,16 @@ def search_source_issues(docs: DataFrame, scope: Sequence[str] = ()) -> DataFram
     )
 
 
-def child_patterns(objects: DataFrame, resolved: DataFrame, patterns: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Children that read an existing index pattern: ``type, id, title, pattern_title``."""
-    children = objects.filter(F.col("type").isin(*CHILD_TYPES)).select(*scope, "type", "id", "title")
-    titles = patterns.select(
-        *scope, F.col("id").alias("pattern_id"), F.coalesce("title", F.lit("")).alias("pattern_title")
+def child_patterns(resolved: DataFrame, patterns: DataFrame, names: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Children that read an existing index pattern: ``type, id, title, pattern_title, covered``."""
+    titles = patterns.select(*scope, F.col("id").alias("pattern_id"), F.coalesce("title", F.lit("")).alias("pattern_title"))
+    covered = covered_patterns(patterns.filter(S.is_present(F.col("title"))), names, "title", scope).select(
+        *scope, F.col("pattern").alias("pattern_title"), F.lit(True).alias("covered")
+    )
+    checked = titles.join(covered, [*scope, "pattern_title"], "left")
+    return resolved_patterns(resolved, scope).join(checked, [*scope, "pattern_id"]).select(
+        *scope, "type", "id", "title", "pattern_title", F.coalesce("covered", F.lit(False)).alias("covered")
     )
-    used = resolved_patterns(resolved, scope).join(titles, [*scope, "pattern_id"])
-    return children.join(used, [*scope, "type", "id"]).select(*scope, "type", "id", "title", "pattern_title")
 
 
 def missing_fields(
@@ -262,7 +271,7 @@ def missing_fields(
     ``children`` comes from ``child_patterns``.
     """
     checked = reads.filter(~F.startswith("field", F.lit("_")) & (F.col("field") != "*"))
-    used = checked.join(children, [*scope, "type", "id"])
+    used = checked.join(children.filter("covered"), [*scope, "type", "id"])
     needed = used.select(*scope, F.col("pattern_title").alias("title"), "field")
     absent = absent_fields(needed, names, mapped, paths, scope).withColumnRenamed("title", "pattern_title")
     return used.join(absent, [*scope, "pattern_title", "field"], "left_semi").select(
@@ -271,7 +280,6 @@ def missing_fields(
 
 
 def child_issues(
-    objects: DataFrame,
     resolved: DataFrame,
     patterns: DataFrame,
     names: DataFrame,
@@ -283,28 +291,18 @@ def child_issues(
 ) -> DataFrame:
     """All problems of visualizations and searches: ``type, id, level, check, message``."""
     key = [*scope, "type", "id"]
+    name = label(F.col("type"), F.col("title"), F.col("id"))
     broken = (
         broken_references(resolved, scope)
         .filter(F.col("src_type").isin(*CHILD_TYPES))
-        .withColumnsRenamed({"src_type": "type", "src_id": "id"})
-        .join(objects.select(*key, "title"), key)
-    )
-    name = label(F.col("type"), F.col("title"), F.col("id"))
-    dangling = broken.select(
-        *key,
-        *_issue(
-            ERROR,
-            "broken-reference",
-            F.when(F.col("ref_type") == "search", _text(NO_SEARCH, name, F.col("ref_id"))).otherwise(
-                _text(NO_PATTERN, name, F.col("ref_id"))
-            ),
-        ),
+        .withColumnsRenamed({"src_type": "type", "src_id": "id", "src_title": "title"})
     )
-    children = child_patterns(objects, resolved, patterns, scope)
-    covered = covered_patterns(patterns.filter(S.is_present(F.col("title"))), names, "title", scope).withColumnRenamed(
-        "pattern", "pattern_title"
+    gone = F.when(F.col("ref_type") == "search", _text(NO_SEARCH, name, F.col("ref_id"))).otherwise(
+        _text(NO_PATTERN, name, F.col("ref_id"))
     )
-    homeless = children.join(covered, [*scope, "pattern_title"], "left_anti").select(
+    dangling = broken.select(*key, *_issue(ERROR, "broken-reference", gone))
+    children = child_patterns(resolved, patterns, names, scope)
+    homeless = children.filter("NOT covered").select(
         *key, *_issue(ERROR, "missing-index", _text(NO_MATCH, name, F.col("pattern_title")))
     )
     missing = missing_fields(children, reads, names, mapped, paths, scope).select(

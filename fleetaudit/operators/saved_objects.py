@@ -84,8 +84,9 @@ def reference_edges(objects: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
         *scope,
         F.col("type").alias("src_type"),
         F.col("id").alias("src_id"),
+        F.col("title").alias("src_title"),
         F.posexplode("references").alias("pos", "ref"),
-    ).select(*scope, "src_type", "src_id", "pos", F.col("ref.type").alias("ref_type"), F.col("ref.id").alias("ref_id"))
+    ).select(*scope, "src_type", "src_id", "src_title", "pos", F.col("ref.type").alias("ref_type"), F.col("ref.id").alias("ref_id"))
 
 
 def index_patterns(objects: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -225,7 +226,7 @@ def validate_dashboards(
     patterns, panels = index_patterns(objects, scope), dashboard_panels(objects, scope)
     mapped, paths = flattened_mappings(mappings, scope)
     children = R.child_issues(
-        listed, resolved, patterns, names, mapped, paths, referenced_fields(objects, scope), search_sources(objects, scope), scope
+        resolved, patterns, names, mapped, paths, referenced_fields(objects, scope), search_sources(objects, scope), scope
     )
     report = R.dashboard_report(listed, resolved, panels, children, dashboard_ids, scope)
     issues = R.only_ids(R.dashboard_issues(resolved, panels, children, scope), dashboard_ids)

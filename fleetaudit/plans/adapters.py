@@ -179,17 +179,19 @@ SELECT 'dashboard', concat('dash-', c_custkey), c_name, NULL FROM customer"""
 
 # Targets of every kind, some of them missing; every 50th dashboard has no reference at all.
 # Some visualizations name their search first, some their pattern; a tag is no target anybody loads.
-SQL["object_references"] = """
+_VIS = "concat(CASE WHEN o_orderkey % 17 = 0 THEN 'lost-' ELSE 'vis-' END, o_orderkey)"
+SQL["object_references"] = f"""
 SELECT CASE WHEN o_custkey % 50 = 0 THEN 'canvas' ELSE 'dashboard' END AS src_type, concat('dash-', o_custkey) AS src_id,
-       o_orderkey AS pos, CASE WHEN o_orderkey % 61 = 0 THEN 'map' ELSE 'visualization' END AS ref_type, concat('vis-', o_orderkey) AS ref_id FROM orders
+       concat('Customer ', o_custkey) AS src_title, o_orderkey AS pos,
+       CASE WHEN o_orderkey % 61 = 0 THEN 'map' ELSE 'visualization' END AS ref_type, concat('vis-', o_orderkey) AS ref_id FROM orders
 UNION ALL
-SELECT 'visualization', concat('vis-', o_orderkey), o_orderkey % 2, CASE WHEN o_orderkey % 3 = 0 THEN 'tag' ELSE 'index-pattern' END,
-       concat(CASE WHEN o_orderkey % 11 = 0 THEN 'none-' ELSE 'ip-' END, o_custkey % 90) FROM orders
+SELECT 'visualization', {_VIS}, concat('Vis ', o_orderkey), o_orderkey % 2, CASE WHEN o_orderkey % 3 = 0 THEN 'tag' ELSE 'index-pattern' END,
+       concat(CASE WHEN o_orderkey % 11 = 0 THEN 'none-' ELSE 'ip-' END, o_custkey) FROM orders
 UNION ALL
-SELECT 'visualization', concat('vis-', o_orderkey), 1 - o_orderkey % 2, CASE WHEN o_orderkey % 3 = 2 THEN 'tag' ELSE 'search' END,
-       concat('se-', o_custkey % 20) FROM orders
+SELECT 'visualization', {_VIS}, concat('Vis ', o_orderkey), 1 - o_orderkey % 2, CASE WHEN o_orderkey % 3 = 2 THEN 'tag' ELSE 'search' END,
+       concat('se-', o_custkey) FROM orders
 UNION ALL
-SELECT 'search', concat(CASE WHEN s_suppkey % 8 = 7 THEN 'lost-' ELSE 'se-' END, s_suppkey), 0, 'index-pattern',
+SELECT 'search', concat(CASE WHEN s_suppkey % 8 = 7 THEN 'lost-' ELSE 'se-' END, s_suppkey), s_name, 0, 'index-pattern',
        concat(CASE WHEN s_suppkey % 13 = 0 THEN 'none-' ELSE 'ip-' END, s_suppkey) FROM supplier"""
 
 # Field reads; some not in the mapping, some exempt.
@@ -373,11 +375,13 @@ SELECT concat('policy-', CASE WHEN s_suppkey % 10 = 0 THEN -1 - s_suppkey ELSE s
 FROM supplier"""
 
 
-def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The adapter over the tables of a directory; no view is registered in the session."""
-    tables = "|".join(TABLES)
-    text = re.sub(rf"\bFROM ({tables})\b", lambda m: f"FROM parquet.`{sf_dir}/{m.group(1)}.parquet`", SQL[name])
-    return spark.sql(text)
+def tables_in(sql: str) -> list[str]:
+    return [t for t in TABLES if re.search(rf"\bFROM {t}\b", sql)]
+
+
+def adapter(spark: SparkSession, name: str, views: dict[str, str]) -> DataFrame:
+    """The adapter over views of its tables; ``views`` maps table names to view names."""
+    return spark.sql(re.sub(rf"\bFROM ({'|'.join(TABLES)})\b", lambda m: f"FROM {views[m.group(1)]}", SQL[name]))
 
 
 def with_adapters(names: tuple[str, ...], query: str) -> str:

@@ -11,14 +11,14 @@ EDGES = """, fst AS (SELECT src_id, arg_min(ref_id, pos) AS inh FROM object_refe
 res AS (SELECT r.*, t.id IS NOT NULL AS found, CASE WHEN r.ref_type = 'index-pattern' THEN r.ref_id ELSE fst.inh END AS offers
   FROM object_references r LEFT JOIN saved_objects t ON t.type = r.ref_type AND t.id = r.ref_id
   LEFT JOIN fst ON r.ref_type = 'search' AND fst.src_id = r.ref_id),
-br AS (SELECT src_type, src_id, pos, ref_type, ref_id FROM res WHERE NOT found
+br AS (SELECT src_type, src_id, src_title, pos, ref_type, ref_id FROM res WHERE NOT found
   AND (src_type = 'dashboard' OR (src_type IN ('visualization', 'search') AND ref_type IN ('index-pattern', 'search')))),
-used AS (SELECT src_type AS type, src_id AS id, arg_min(offers, pos) AS pattern_id FROM res
+used AS (SELECT src_type AS type, src_id AS id, max(src_title) AS title, arg_min(offers, pos) AS pattern_id FROM res
   WHERE src_type IN ('visualization', 'search') AND ref_type IN ('index-pattern', 'search') AND found AND offers <> '' GROUP BY 1, 2)
 """
 LABEL = "concat(upper(left(o.type, 1)), substring(o.type, 2), ' ''', o.title, ''' (id: ', o.id, ')')"
 CHILDREN = NAMES + EDGES + """, ch AS (SELECT o.type, o.id, o.title, ip.title AS pattern_title
-  FROM saved_objects o JOIN used USING (type, id) JOIN ip ON ip.id = used.pattern_id),
+  FROM saved_objects o JOIN used ON used.type = o.type AND used.id = o.id JOIN ip ON ip.id = used.pattern_id),
 mf AS (SELECT ch.type, ch.id, ch.title, ch.pattern_title, r.field, r.context FROM object_fields r JOIN ch USING (type, id)
   WHERE left(r.field, 1) <> '_' AND r.field <> '*' AND ch.pattern_title IN (SELECT title FROM pf)
   AND NOT EXISTS (SELECT 1 FROM pf WHERE pf.title = ch.pattern_title AND pf.field = r.field))
@@ -67,13 +67,12 @@ def resolved(inputs):
 
 
 def children(inputs):
-    return R.child_patterns(inputs("saved_objects"), resolved(inputs), patterns(inputs))
+    return R.child_patterns(resolved(inputs), patterns(inputs), names(inputs))
 
 
 def child_findings(inputs):
     return R.child_issues(
-        inputs("saved_objects"), resolved(inputs), patterns(inputs), names(inputs), mapped(inputs), paths(inputs),
-        inputs("object_fields"), inputs("object_docs"),
+        resolved(inputs), patterns(inputs), names(inputs), mapped(inputs), paths(inputs), inputs("object_fields"), inputs("object_docs")
     )
 
 

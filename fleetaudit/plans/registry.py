@@ -6,24 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetaudit.plans.adapters import adapter, with_adapters
+from fleetaudit.plans.adapters import SQL, adapter, tables_in, with_adapters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
 class Inputs:
-    """Adapters of one data directory as attributes: ``inputs("saved_objects")``."""
+    """Adapters over the tables of one data directory: ``inputs("saved_objects")``.
+
+    Each table is opened once per query and each adapter built once.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-
-    def __call__(self, name: str) -> DataFrame:
-        return adapter(self.spark, self.sf_dir, name)
+        self._views: dict[str, str] = {}
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            for table in tables_in(SQL[name]):
+                if table not in self._views:
+                    self._views[table] = f"fleetaudit_{table}"
+                    self.table(table).createOrReplaceTempView(self._views[table])
+            self._built[name] = adapter(self.spark, name, self._views)
+        return self._built[name]
+
 
 def query(name: str, uses: tuple[str, ...] = (), check: str | None = None):
     """Registers a query under a name, with its check SQL over the adapters it uses."""
