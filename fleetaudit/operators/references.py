@@ -6,7 +6,7 @@ The chain is dashboard -> visualization -> search -> index pattern -> mapping. T
 ``edges``     src_type, src_id, src_title, pos, ref_type, ref_id
 ``patterns``  id, title, time_field      the index patterns among the objects
 ``names``     name, index_name           every index, alias and data stream with the index behind it
-``mapped``    index_name, mapping_id     indices with equal mappings share one id
+``mapped``    index_name, mapping_id     indices with at least one field; equal mappings share one id
 ``paths``     mapping_id, path           flattened field paths
 ``reads``     type, id, field, context   the fields an object reads
 ``docs``      type, id, title, search_source_json
@@ -81,75 +81,72 @@ def pattern_index_pairs(titles: DataFrame, names: DataFrame, scope: Sequence[str
 
 
 def pattern_mappings(titles: DataFrame, names: DataFrame, mapped: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Distinct mappings behind every pattern title: ``title, mapping_id``.
+    """Distinct mappings behind every pattern title: ``title, mapping_id``, NULL where a name has no fields.
 
     Names get their mapping before they meet the patterns. A broad pattern then leaves the
     join as a few mappings per task, and its long list of indices is never shuffled.
     """
     behind = names.select(*scope, "name", F.coalesce("index_name", "name").alias("index_name"))
-    with_mapping = behind.join(mapped, [*scope, "index_name"]).select(*scope, "name", "mapping_id")
+    with_mapping = behind.join(mapped, [*scope, "index_name"], "left").select(*scope, "name", "mapping_id")
     pairs = glob_pairs(titles, with_mapping, "title", scope, carry=["mapping_id"])
     return pairs.select(*scope, F.col("pattern").alias("title"), "mapping_id").distinct()
 
 
-def pattern_fields(titles: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Field set of every pattern title: ``title, path``."""
-    behind = pattern_mappings(titles, names, mapped, scope)
-    return behind.join(paths, [*scope, "mapping_id"]).select(*scope, "title", "path").distinct()
+def pattern_fields(behind: DataFrame, paths: DataFrame, fields: DataFrame | None = None, scope: Sequence[str] = ()) -> DataFrame:
+    """Field set of every pattern title: ``title, field``. ``behind`` comes from ``pattern_mappings``.
 
+    With ``fields`` (a table of ``field``), only paths that somebody asks for meet the titles.
+    """
+    asked = paths.withColumnRenamed("path", "field")
+    if fields is not None:
+        asked = asked.join(fields.select(*scope, "field").distinct(), [*scope, "field"], "left_semi")
+    return behind.join(asked, [*scope, "mapping_id"]).select(*scope, "title", "field").distinct()
 
-def absent_fields(
-    needed: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = ()
-) -> DataFrame:
-    """Of the ``title, field`` pairs asked for, those the title's mappings lack.
 
-    Titles without any known field are left out, as nothing can be said about them. Only
-    paths that somebody asks for are joined to the titles.
-    """
-    needed = needed.select(*scope, "title", "field").distinct()
-    with_fields = mapped.join(paths.select(*scope, "mapping_id").distinct(), [*scope, "mapping_id"], "left_semi")
-    behind = pattern_mappings(needed.select(*scope, "title"), names, with_fields, scope)
-    asked = paths.withColumnRenamed("path", "field").join(
-        needed.select(*scope, "field").distinct(), [*scope, "field"], "left_semi"
+def pattern_status(patterns: DataFrame, behind: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Index patterns with two flags: ``covered``, some name matches; ``known``, some field is known."""
+    flags = behind.groupBy(*scope, "title").agg(F.bool_or(F.col("mapping_id").isNotNull()).alias("known"))
+    return patterns.join(flags, [*scope, "title"], "left").select(
+        *scope,
+        "id",
+        F.coalesce("title", F.lit("")).alias("title"),
+        "time_field",
+        F.col("known").isNotNull().alias("covered"),
+        F.coalesce("known", F.lit(False)).alias("known"),
     )
-    present = behind.join(asked, [*scope, "mapping_id"]).select(*scope, "title", "field").distinct()
-    known = behind.select(*scope, "title").distinct()
-    return needed.join(present, [*scope, "title", "field"], "left_anti").join(known, [*scope, "title"], "left_semi")
+
+
+def titled(patterns: DataFrame) -> DataFrame:
+    return patterns.filter(S.is_present(F.col("title")))
 
 
 def unmatched_patterns(patterns: DataFrame, names: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Patterns whose title is blank or matches no name: ``id, title, blank``."""
-    covered = covered_patterns(patterns.filter(S.is_present(F.col("title"))), names, "title", scope)
-    covered = covered.withColumnRenamed("pattern", "title")
-    return patterns.join(covered, [*scope, "title"], "left_anti").select(
-        *scope, "id", "title", (~S.is_present(F.col("title"))).alias("blank")
-    )
+    """Patterns whose title is blank or matches no name: ``id, title``. Needs no mappings."""
+    covered = covered_patterns(titled(patterns), names, "title", scope).withColumnRenamed("pattern", "title")
+    return patterns.join(covered, [*scope, "title"], "left_anti").select(*scope, "id", "title")
 
 
-def absent_time_fields(
-    patterns: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = ()
-) -> DataFrame:
+def absent_time_fields(status: DataFrame, behind: DataFrame, paths: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Patterns whose time field is not in the mapping: ``id, title, time_field``."""
-    timed = patterns.filter(S.is_present(F.col("title")) & S.is_present(F.col("time_field")))
-    needed = timed.select(*scope, "title", F.col("time_field").alias("field"))
-    absent = absent_fields(needed, names, mapped, paths, scope).withColumnRenamed("field", "time_field")
-    return timed.join(absent, [*scope, "title", "time_field"], "left_semi").select(*scope, "id", "title", "time_field")
+    timed = status.filter(F.col("known") & S.is_present(F.col("time_field")))
+    wanted = status.select(*scope, F.col("time_field").alias("field")).filter(S.is_present(F.col("field")))
+    present = pattern_fields(behind, paths, wanted, scope).withColumnRenamed("field", "time_field")
+    return timed.join(present, [*scope, "title", "time_field"], "left_anti").select(*scope, "id", "title", "time_field")
 
 
 def global_issues(
     patterns: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = ()
 ) -> DataFrame:
     """Problems of index patterns, each told once: ``pattern_id, level, check, message``."""
-    unmatched = unmatched_patterns(patterns, names, scope).select(
+    behind = pattern_mappings(titled(patterns), names, mapped, scope)
+    status = pattern_status(patterns, behind, scope)
+    untitled = F.when(F.col("title") == "", _text(NO_TITLE, F.col("id")))
+    unmatched = status.filter("NOT covered").select(
         *scope,
         F.col("id").alias("pattern_id"),
-        *_issue(
-            ERROR,
-            "missing-index",
-            F.when(F.col("blank"), _text(NO_TITLE, F.col("id"))).otherwise(_text(NO_INDEX, F.col("title"), F.col("id"))),
-        ),
+        *_issue(ERROR, "missing-index", F.coalesce(untitled, _text(NO_INDEX, F.col("title"), F.col("id")))),
     )
-    untimed = absent_time_fields(patterns, names, mapped, paths, scope).select(
+    untimed = absent_time_fields(status, behind, paths, scope).select(
         *scope,
         F.col("id").alias("pattern_id"),
         *_issue(WARNING, "missing-field", _text(NO_TIME_FIELD, F.col("title"), F.col("time_field"))),
@@ -251,30 +248,23 @@ def search_source_issues(docs: DataFrame, scope: Sequence[str] = ()) -> DataFram
     )
 
 
-def child_patterns(resolved: DataFrame, patterns: DataFrame, names: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Children that read an existing index pattern: ``type, id, title, pattern_title, covered``."""
-    titles = patterns.select(*scope, F.col("id").alias("pattern_id"), F.coalesce("title", F.lit("")).alias("pattern_title"))
-    covered = covered_patterns(patterns.filter(S.is_present(F.col("title"))), names, "title", scope).select(
-        *scope, F.col("pattern").alias("pattern_title"), F.lit(True).alias("covered")
-    )
-    checked = titles.join(covered, [*scope, "pattern_title"], "left")
-    return resolved_patterns(resolved, scope).join(checked, [*scope, "pattern_id"]).select(
-        *scope, "type", "id", "title", "pattern_title", F.coalesce("covered", F.lit(False)).alias("covered")
-    )
+def child_patterns(resolved: DataFrame, status: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Children that read an existing index pattern: ``type, id, title, pattern_title, covered, known``."""
+    read = status.select(*scope, F.col("id").alias("pattern_id"), F.col("title").alias("pattern_title"), "covered", "known")
+    return resolved_patterns(resolved, scope).join(read, [*scope, "pattern_id"]).drop("pattern_id")
 
 
 def missing_fields(
-    children: DataFrame, reads: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = ()
+    children: DataFrame, reads: DataFrame, behind: DataFrame, paths: DataFrame, scope: Sequence[str] = ()
 ) -> DataFrame:
     """Fields a child reads that its pattern's mappings lack; ``_`` names and ``*`` are exempt.
 
-    ``children`` comes from ``child_patterns``.
+    Nothing is said about patterns without any known field.
     """
     checked = reads.filter(~F.startswith("field", F.lit("_")) & (F.col("field") != "*"))
-    used = checked.join(children.filter("covered"), [*scope, "type", "id"])
-    needed = used.select(*scope, F.col("pattern_title").alias("title"), "field")
-    absent = absent_fields(needed, names, mapped, paths, scope).withColumnRenamed("title", "pattern_title")
-    return used.join(absent, [*scope, "pattern_title", "field"], "left_semi").select(
+    used = checked.join(children.filter("known").drop("covered", "known"), [*scope, "type", "id"])
+    present = pattern_fields(behind, paths, checked, scope).withColumnRenamed("title", "pattern_title")
+    return used.join(present, [*scope, "pattern_title", "field"], "left_anti").select(
         *scope, "type", "id", "title", "pattern_title", "field", "context"
     )
 
@@ -301,11 +291,13 @@ def child_issues(
         _text(NO_PATTERN, name, F.col("ref_id"))
     )
     dangling = broken.select(*key, *_issue(ERROR, "broken-reference", gone))
-    children = child_patterns(resolved, patterns, names, scope)
+
+    behind = pattern_mappings(titled(patterns), names, mapped, scope)
+    children = child_patterns(resolved, pattern_status(patterns, behind, scope), scope)
     homeless = children.filter("NOT covered").select(
         *key, *_issue(ERROR, "missing-index", _text(NO_MATCH, name, F.col("pattern_title")))
     )
-    missing = missing_fields(children, reads, names, mapped, paths, scope).select(
+    missing = missing_fields(children, reads, behind, paths, scope).select(
         *key,
         *_issue(
             ERROR, "missing-field", _text(NO_FIELD, name, F.col("field"), F.col("pattern_title"), F.col("context"))

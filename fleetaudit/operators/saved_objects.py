@@ -198,11 +198,12 @@ def flattened_mappings(mappings: DataFrame, scope: Sequence[str] = (), max_depth
     is flattened once, whatever the number of indices that carry it.
     """
     keyed = mappings.withColumn("mapping_id", F.sha2("properties", 256))
-    mapped = keyed.select(*scope, "index_name", "mapping_id")
-    distinct = keyed.select(*scope, "mapping_id", "properties").dropDuplicates([*scope, "mapping_id"])
-    paths = distinct.select(
-        *scope, "mapping_id", F.explode(J.mapping_paths(F.col("properties"), max_depth)).alias("path")
-    )
+    key = [*scope, "mapping_id"]
+    fields = J.object_from_text(F.col("properties"))
+    has_field = F.exists(F.map_values(fields), lambda v: J.as_object(v).isNotNull())
+    distinct = keyed.select(*key, "properties").dropDuplicates(key).filter(has_field)
+    mapped = keyed.select(*scope, "index_name", "mapping_id").join(distinct.select(*key), key, "left_semi")
+    paths = distinct.select(*key, F.explode(J.mapping_paths(F.col("properties"), max_depth)).alias("path"))
     return mapped, paths
 
 

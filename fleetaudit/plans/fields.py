@@ -198,24 +198,32 @@ def patterns(inputs):
     return inputs("saved_objects").filter("type = 'index-pattern'").select("id", "title", "time_field")
 
 
+def behind(inputs):
+    return R.pattern_mappings(R.titled(patterns(inputs)), names(inputs), mapped(inputs))
+
+
+def status(inputs):
+    return R.pattern_status(patterns(inputs), behind(inputs))
+
+
 @query("unmatched_patterns", ("saved_objects", "field_caps"), NAMES + """
-SELECT id, title, title = '' AS blank FROM ip WHERE title NOT IN (SELECT title FROM hit)""")
+SELECT id, title FROM ip WHERE title NOT IN (SELECT title FROM hit)""")
 def unmatched_patterns(inputs):
     return R.unmatched_patterns(patterns(inputs), names(inputs))
 
 
 @query("pattern_indices", ("saved_objects", "field_caps"), NAMES + "SELECT title, name AS index_name FROM hit")
 def pattern_indices(inputs):
-    return R.pattern_index_pairs(patterns(inputs).filter("title <> ''"), names(inputs))
+    return R.pattern_index_pairs(R.titled(patterns(inputs)), names(inputs))
 
 
-@query("pattern_fields", ("saved_objects", "field_caps"), NAMES + "SELECT title, field AS path FROM pf")
+@query("pattern_fields", ("saved_objects", "field_caps"), NAMES + "SELECT title, field FROM pf")
 def pattern_fields(inputs):
-    return R.pattern_fields(patterns(inputs).filter("title <> ''"), names(inputs), mapped(inputs), paths(inputs))
+    return R.pattern_fields(behind(inputs), paths(inputs))
 
 
 @query("time_field_missing", ("saved_objects", "field_caps"), NAMES + """
 SELECT id, title, time_field FROM ip WHERE time_field <> '' AND title IN (SELECT title FROM pf)
   AND NOT EXISTS (SELECT 1 FROM pf WHERE pf.title = ip.title AND pf.field = ip.time_field)""")
 def time_field_missing(inputs):
-    return R.absent_time_fields(patterns(inputs), names(inputs), mapped(inputs), paths(inputs))
+    return R.absent_time_fields(status(inputs), behind(inputs), paths(inputs))

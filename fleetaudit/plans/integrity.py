@@ -2,7 +2,7 @@
 
 
 from fleetaudit.operators import references as R
-from fleetaudit.plans.fields import NAMES, mapped, names, paths, patterns
+from fleetaudit.plans.fields import NAMES, behind, mapped, names, paths, patterns, status
 from fleetaudit.plans.registry import query
 
 ALL = ("saved_objects", "object_references", "field_caps", "object_fields", "object_docs", "panels")
@@ -67,7 +67,7 @@ def resolved(inputs):
 
 
 def children(inputs):
-    return R.child_patterns(resolved(inputs), patterns(inputs), names(inputs))
+    return R.child_patterns(resolved(inputs), status(inputs))
 
 
 def child_findings(inputs):
@@ -96,7 +96,7 @@ def resolved_pattern(inputs):
 
 @query("missing_fields", ALL[:4], CHILDREN + "SELECT * FROM mf")
 def missing_fields(inputs):
-    return R.missing_fields(children(inputs), inputs("object_fields"), names(inputs), mapped(inputs), paths(inputs))
+    return R.missing_fields(children(inputs), inputs("object_fields"), behind(inputs), paths(inputs))
 
 
 @query("invalid_search_source", ("object_docs",), SOURCES + "SELECT * FROM ssi")
