@@ -23,15 +23,23 @@ POLICY_PATH = ("index", "plugins", "index_state_management", "policy_id")
 POLICY_KEY = "index.plugins.index_state_management.policy_id"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parsed(text: Column) -> Column:
     """Text as VARIANT; NULL when it is not exactly one JSON value.
 
     The parser stops after the first value and would let ``[1] rubbish`` pass. With an
     end mark behind the text, all of it has to be that one value.
     """
-    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
-    whole = (F.try_variant_get(framed, "$[1]", "string") == END_MARK) & F.try_variant_get(framed, "$[2]", "variant").isNull()
-    return F.when(whole, F.try_variant_get(framed, "$[0]", "variant"))
+
+    def whole(framed: Column) -> Column:
+        ends = (F.try_variant_get(framed, "$[1]", "string") == END_MARK) & F.try_variant_get(framed, "$[2]", "variant").isNull()
+        return F.when(ends, F.try_variant_get(framed, "$[0]", "variant"))
+
+    return let(F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]'))), whole)
 
 
 def is_json(text: Column) -> Column:
@@ -126,11 +134,6 @@ def apply_conditions(current: Column, updates: Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _descend(text: Column, start: Column, max_depth: int, step: Callable[[Column], Column]) -> Column:
     """Walk a document level by level inside one row.
 
@@ -145,12 +148,12 @@ def _descend(text: Column, start: Column, max_depth: int, step: Callable[[Column
     walked = F.aggregate(
         F.sequence(F.lit(1), rounds),
         state,
-        lambda s, _: _let(
+        lambda s, _: let(
             step(s["level"]), lambda n: F.struct(n["level"].alias("level"), F.concat(s["found"], n["found"]).alias("found"))
         ),
     )
     too_deep = F.raise_error(F.lit(f"document is nested deeper than {max_depth} levels")).cast("array<string>")
-    return _let(walked, lambda w: F.when(F.size(w["level"]) > 0, too_deep).otherwise(w["found"]))
+    return let(walked, lambda w: F.when(F.size(w["level"]) > 0, too_deep).otherwise(w["found"]))
 
 
 def mapping_paths(properties: Column, max_depth: int = 20) -> Column:
@@ -185,7 +188,7 @@ def values_of_key(document: Column, key: str = "field", max_depth: int = 32) ->
             found = F.transform(F.filter(e, is_hit), lambda x: as_text(x["value"]))
             return F.struct(F.concat(inside, items).alias("level"), found.alias("found"))
 
-        return _let(entries, split)
+        return let(entries, split)
 
     return _descend(document, F.array_compact(F.array(parsed(document))), max_depth, step)
 
@@ -197,9 +200,11 @@ def values_of_key(document: Column, key: str = "field", max_depth: int = 32) ->
 
 def settings_policy(settings: Column) -> Column:
     """Policy named by a template's settings text, nested form first, then the dotted key."""
-    doc = parsed(settings)
-    return first_present(
-        F.try_variant_get(doc, _path(POLICY_PATH), "string"), F.try_variant_get(doc, _path((POLICY_KEY,)), "string")
+    return let(
+        parsed(settings),
+        lambda doc: first_present(
+            F.try_variant_get(doc, _path(POLICY_PATH), "string"), F.try_variant_get(doc, _path((POLICY_KEY,)), "string")
+        ),
     )
 
 
@@ -209,22 +214,32 @@ def with_settings_policy(settings: Column, policy_id: Column) -> Column:
     The nested key is written, parents left empty by a removal go with it, and a
     dotted copy is always dropped because it would shadow the nested one.
     """
-    doc = F.coalesce(object_from_text(settings), empty_object())
-    index = F.coalesce(as_object(doc["index"]), empty_object())
-    plugins = F.coalesce(as_object(index["plugins"]), empty_object())
-    ism = F.coalesce(as_object(plugins["index_state_management"]), empty_object())
 
-    def keep_unless_empty(parent: Column, key: str, child: Column) -> Column:
-        return F.when(F.size(child) == 0, without_key(parent, key)).otherwise(with_key(parent, key, object_variant(child)))
+    def child(parent: Column, key: str) -> Column:
+        return F.coalesce(as_object(parent[key]), empty_object())
+
+    def below(parent: Column, key: str, change: Callable[[Column], Column], prune: bool = True) -> Column:
+        """The parent with one of its objects changed, or without it when the change empties it."""
+
+        def put(changed: Column) -> Column:
+            kept = with_key(parent, key, object_variant(changed))
+            return F.when(F.size(changed) == 0, without_key(parent, key)).otherwise(kept) if prune else kept
+
+        return let(change(child(parent, key)), put)
 
-    removed_ism = without_key(ism, "policy_id")
-    removed_plugins = keep_unless_empty(plugins, "index_state_management", removed_ism)
-    removed_index = keep_unless_empty(index, "plugins", removed_plugins)
-    set_ism = with_key(ism, "policy_id", text_variant(policy_id))
-    set_plugins = with_key(plugins, "index_state_management", object_variant(set_ism))
-    set_index = with_key(index, "plugins", object_variant(set_plugins))
-    new_index = F.when(F.lower(policy_id) == "none", removed_index).otherwise(set_index)
-    return to_text(with_key(without_key(doc, POLICY_KEY), "index", object_variant(new_index)))
+    def policy(ism: Column) -> Column:
+        return F.when(F.lower(policy_id) == "none", without_key(ism, "policy_id")).otherwise(
+            with_key(ism, "policy_id", text_variant(policy_id))
+        )
+
+    def plugins(obj: Column) -> Column:
+        return below(obj, "index_state_management", policy)
+
+    def index(obj: Column) -> Column:
+        return below(obj, "plugins", plugins)
+
+    doc = without_key(F.coalesce(object_from_text(settings), empty_object()), POLICY_KEY)
+    return let(doc, lambda d: to_text(below(d, "index", index, prune=False)))
 
 
 # ---------------------------------------------------------------------------
@@ -237,26 +252,36 @@ def search_source_text(attributes: Column) -> Column:
     return as_text(attributes, "kibanaSavedObjectMeta", "searchSourceJSON")
 
 
-def stripped_search_source(text: Column) -> Column:
-    """Search-source text without its pinned query and filters; unreadable text is kept."""
-    source = object_from_text(text)
+def _stripped_source(source: Column) -> Column:
+    """A search source (map of VARIANT) without its pinned query text and filters."""
     query = as_object(source["query"])
     blank = with_key(query, "query", text_variant(F.lit("")))
     no_query = F.when(query.isNotNull(), with_key(source, "query", object_variant(blank))).otherwise(source)
-    no_filter = F.when(
-        F.map_contains_key(source, "filter"), with_key(no_query, "filter", F.parse_json(F.lit("[]")))
-    ).otherwise(no_query)
-    return F.coalesce(to_text(no_filter), text)
+    has_filter = F.map_contains_key(source, "filter")
+    return F.when(has_filter, with_key(no_query, "filter", F.parse_json(F.lit("[]")))).otherwise(no_query)
+
+
+def stripped_search_source(text: Column) -> Column:
+    """Search-source text without its pinned query and filters; unreadable text is kept."""
+    return F.coalesce(let(object_from_text(text), lambda source: to_text(_stripped_source(source))), text)
 
 
 def stripped_attributes(attributes: Column) -> Column:
-    """Attributes text with ``stripped_search_source`` applied to the text inside."""
-    obj = object_from_text(attributes)
-    meta = as_object(obj["kibanaSavedObjectMeta"])
-    source = as_text(meta["searchSourceJSON"])
-    new_meta = with_key(meta, "searchSourceJSON", text_variant(stripped_search_source(source)))
-    rewritten = to_text(with_key(obj, "kibanaSavedObjectMeta", object_variant(new_meta)))
-    return F.when(object_from_text(source).isNotNull(), rewritten).otherwise(attributes)
+    """Attributes text as VARIANT, with ``stripped_search_source`` applied to the text inside.
+
+    The text is parsed once, and only where it names a search source is the result rebuilt.
+    """
+
+    def rewrite(doc: Column) -> Column:
+        def put(meta: Column) -> Column:
+            source = as_text(meta["searchSourceJSON"])
+            new_meta = with_key(meta, "searchSourceJSON", text_variant(stripped_search_source(source)))
+            return object_variant(with_key(as_object(doc), "kibanaSavedObjectMeta", object_variant(new_meta)))
+
+        named = as_text(doc, "kibanaSavedObjectMeta", "searchSourceJSON").isNotNull()
+        return F.when(named, let(as_object(doc, "kibanaSavedObjectMeta"), put)).otherwise(doc)
+
+    return let(parsed(attributes), rewrite)
 
 
 def cached_field_count(fields: Column) -> Column:

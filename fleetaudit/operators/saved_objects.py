@@ -161,15 +161,13 @@ def referenced_fields(objects: DataFrame, scope: Sequence[str] = ()) -> DataFram
 
     series = F.flatten(F.transform(items(state, "params", "series"), series_uses))
 
+    def clause_uses(filter_: Column, clause: str) -> Column:
+        names = F.coalesce(F.map_keys(J.as_object(filter_, "query", clause)), F.array().cast("array<string>"))
+        return F.transform(names, lambda name: use(name, F.lit(f"filter {clause}")))
+
     def filter_uses(filter_: Column) -> Column:
-        keys = [
-            F.transform(
-                F.coalesce(F.map_keys(J.as_object(filter_, "query", clause)), F.array().cast("array<string>")),
-                lambda name, clause=clause: use(name, F.lit(f"filter {clause}")),
-            )
-            for clause in FILTER_CLAUSES
-        ]
-        return F.concat(F.array(use(J.as_text(filter_, "meta", "key"), F.lit("filter"))), *keys)
+        by_key = F.array(use(J.as_text(filter_, "meta", "key"), F.lit("filter")))
+        return F.concat(by_key, *[clause_uses(filter_, clause) for clause in FILTER_CLAUSES])
 
     filters = F.flatten(F.transform(items(source, "filter"), filter_uses))
 
@@ -249,7 +247,7 @@ def export_records(
     record = F.struct(
         "id",
         "type",
-        J.parsed(J.stripped_attributes(F.col("attributes"))).alias("attributes"),
+        J.stripped_attributes(F.col("attributes")).alias("attributes"),
         F.coalesce("references", F.array().cast("array<struct<name:string,type:string,id:string>>")).alias("references"),
     )
     return wanted.select(*scope, "type", "id", F.to_json(record).alias("line"))
