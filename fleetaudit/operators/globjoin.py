@@ -39,16 +39,18 @@ ANCHOR = ("kind", "size", "anchor")
 
 def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = ()) -> DataFrame:
     """Distinct patterns with ``kind``, ``size`` and ``anchor``, and the regex where one is needed."""
-    toks = F.col("toks")
+    toks, marks = F.col("toks"), F.col("marks")
+    kind_of = F.col("kind")
     # One letter per token: L fixed character, A any run, Q any character, S set.
     mark = F.transform(
-        toks, lambda t: F.when(F.length(t) > 1, "S").when(t == "*", "A").when(t == "?", "Q").otherwise("L")
+        "raw", lambda t: F.when(_is_set(t), "S").when(t == "*", "A").when(t == "?", "Q").otherwise("L")
     )
-    marks = F.col("marks")
-    longest = F.array_max(F.transform(F.regexp_extract_all(marks, F.lit("(L+)"), F.lit(1)), F.length))
     head = F.length(F.regexp_extract(marks, "^L*", 0))
-    kind_of = F.col("kind")
     tail = F.length(F.regexp_extract(marks, "L*$", 0))
+    # The longest fixed run behind the head, or at all where there is no head.
+    later = F.substring(marks, head + 1, F.length(marks))
+    longest = F.coalesce(F.array_max(F.transform(F.regexp_extract_all(later, F.lit("(L+)"), F.lit(1)), F.length)), F.lit(0))
+    run_start = head + F.call_function("locate", F.repeat(F.lit("L"), F.col("run")), later)
     kind = (
         F.when(F.rlike(marks, F.lit("^L*$")), "exact")
         .when(F.rlike(marks, F.lit("^A+$")), "any")
@@ -63,11 +65,10 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     size = (
         F.when(kind_of.isin(*FROM_START), head)
         .when(kind_of == "suffix", tail)
-        .when(kind_of.isin("gram", "inner"), F.least(longest, F.lit(GRAM)))
+        .when(kind_of.isin("gram", "inner"), F.least(F.col("run"), F.lit(GRAM)))
         .when(kind_of == "shape", F.length(F.replace(marks, F.lit("A"), F.lit(""))))
         .otherwise(0)
     )
-    run_start = F.expr("locate(repeat('L', array_max(transform(regexp_extract_all(marks, '(L+)', 1), r -> length(r)))), marks)")
 
     def piece(start: Column | int, length: Column) -> Column:
         return F.array_join(F.slice(toks, start, length), "")
@@ -82,26 +83,39 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     # No NULLs in the join keys: the optimizer would push null checks, and with them copies of
     # these expressions, down to the scan.
     size, anchor = F.coalesce(size, F.lit(0)), F.coalesce(anchor, F.lit(""))
-    # What is left to compare once the anchors agree; NULL when nothing is.
-    rest = (
+    # What is left to compare once the anchors agree; NULL when nothing is. A text that a
+    # matching name must contain (or end with) comes first, since it is far cheaper than the regex.
+    probe = (
         F.when(kind_of == "ends", piece(F.size(toks) - tail + 1, tail))
-        .when(kind_of == "inner", piece(run_start, longest))
-        .when(~kind_of.isin(*CERTAIN), glob_regex(F.col("pattern")))
+        .when(~kind_of.isin(*CERTAIN), piece(run_start, F.col("run")))
     )
+    regex = F.when(~kind_of.isin(*CERTAIN, "ends", "inner"), glob_regex(F.col("pattern")))
     return (
         patterns.select(*scope, F.col(column).alias("pattern"))
         .filter(F.col("pattern").isNotNull())
         .distinct()
-        .withColumn("toks", tokens(F.col("pattern")))
+        .withColumn("raw", tokens(F.col("pattern")))
+        .withColumn("toks", F.transform("raw", lambda t: F.when(_is_fixed_set(t), F.substring(t, 2, 1)).otherwise(t)))
         .withColumn("marks", F.array_join(mark, ""))
         .withColumn("kind", kind)
+        .withColumn("run", longest)
         .withColumn("size", size)
         .withColumn("anchor", anchor)
-        .withColumn("rest", rest)
-        .drop("toks", "marks")
+        .withColumn("probe", probe)
+        .withColumn("regex", regex)
+        .drop("raw", "toks", "marks", "run")
     )
 
 
+def _is_fixed_set(token: Column) -> Column:
+    """A set of one character, such as ``[*]``, is that character."""
+    return (F.length(token) == 3) & ~F.startswith(token, F.lit("[!"))
+
+
+def _is_set(token: Column) -> Column:
+    return (F.length(token) > 1) & ~_is_fixed_set(token)
+
+
 def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """Each name once per anchor that ``anchored`` could ask it for."""
     demand = anchored.select(F.coalesce(F.collect_set(F.struct("kind", "size")), F.array()).alias("d"))
@@ -146,13 +160,14 @@ def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str],
 
 def _fits() -> Column:
     """Does a name that shares a pattern's anchor match the pattern?"""
-    name, rest = F.col("name"), F.col("rest")
-    fixed = F.length(F.col("anchor")) + F.length(rest)
+    name, probe = F.col("name"), F.col("probe")
+    fixed = F.length(F.col("anchor")) + F.length(probe)
     return (
-        F.when(rest.isNull(), True)
-        .when(F.col("kind") == "ends", F.endswith(name, rest) & (F.length(name) >= fixed))
-        .when(F.col("kind") == "inner", F.contains(name, rest))
-        .otherwise(F.rlike(name, rest))
+        F.when(probe.isNull(), True)
+        .when(F.col("kind") == "ends", F.endswith(name, probe) & (F.length(name) >= fixed))
+        .when(~F.contains(name, probe), False)
+        .when(F.col("kind") == "inner", True)
+        .otherwise(F.rlike(name, F.col("regex")))
     )
 
 

@@ -95,13 +95,15 @@ def policy_status(
     status = F.when(failed & ~reported.isin(*FAILED_STATUSES), "failed").otherwise(reported)
 
     # A JSON object holds the reason under one of two keys; anything else is the message itself.
-    info = J.object_from_text(F.col("info"))
+    def reason(info: Column) -> Column:
+        def entry(key: str) -> Column:
+            return F.coalesce(J.as_text(info[key]), F.to_json(info[key]))
 
-    def entry(key: str) -> Column:
-        return F.coalesce(J.as_text(info[key]), F.to_json(info[key]))
+        return S.first_present(entry("cause"), entry("message"), F.lit(""))
 
-    in_object = S.first_present(entry("cause"), entry("message"), F.lit(""))
-    message = F.when(info.isNotNull(), in_object).otherwise(F.coalesce(F.col("info"), F.lit("")))
+    text = F.coalesce("info", F.lit(""))
+    in_object = F.when(F.startswith(F.ltrim(text), F.lit("{")), J.let(J.object_from_text(text), lambda o: F.when(o.isNotNull(), reason(o))))
+    message = F.btrim(F.coalesce(in_object, text), F.lit(WHITESPACE))
     start = F.col("step.start_time")
 
     rows = _named(explain, "index_name", index_filter).filter(S.is_present(policy)).select(
@@ -114,9 +116,7 @@ def policy_status(
         status.alias("step_status"),
         S.first_nonzero(F.col("action.consumed_retries"), F.col("retry_info.consumed_retries")).cast("int").alias("retries"),
         F.when(S.first_nonzero(start) != 0, S.duration_text(now - start)).otherwise("-").alias("time_in_step"),
-        S.first_present(
-            F.btrim(message, F.lit(WHITESPACE)), F.when(failed, "(see ISM history)").otherwise("")
-        ).alias("error"),
+        J.let(message, lambda m: S.first_present(m, F.when(failed, "(see ISM history)").otherwise(""))).alias("error"),
     )
     return rows.filter(F.col("step_status").isin(*FAILED_STATUSES)) if failed_only else rows
 

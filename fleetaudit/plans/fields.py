@@ -134,7 +134,7 @@ SELECT DISTINCT index_name, array_to_string(list_filter(parts, lambda x, i: i %
 WHERE len(parts) % 2 = 1 AND len(list_filter(parts, lambda x, i: i % 2 = 0 AND x NOT IN ('properties', 'fields'))) = 0
   AND (type = 'OBJECT' OR (len(parts) > 1 AND parts[-2] = 'fields'))""")
 def mapping_paths(inputs):
-    mapped, paths = O.flattened_mappings(inputs("mapping_docs"))
+    mapped, paths = O.flattened_mappings(inputs("mapping_docs", heavy=True))
     return mapped.join(paths, "mapping_id").select("index_name", "path")
 
 
@@ -143,7 +143,7 @@ SELECT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey, json_extract_stri
 FROM agg_docs a, json_tree(a.doc) j WHERE j.key = 'field' AND j.type = 'VARCHAR'""")
 def nested_field_values(inputs):
     values = F.explode(J.values_of_key(F.col("doc"))).alias("field")
-    return inputs("agg_docs").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", values)
+    return inputs("agg_docs", heavy=True).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", values)
 
 
 @query("json_key_profile", (), """
@@ -163,7 +163,7 @@ def json_key_profile(inputs):
 @query("pattern_matches", ("shaped_patterns", "shaped_names"), """, p AS (SELECT DISTINCT pattern FROM shaped_patterns)
 SELECT pattern, name FROM p JOIN shaped_names ON name GLOB pattern""")
 def pattern_matches(inputs):
-    return G.glob_pairs(inputs("shaped_patterns"), inputs("shaped_names"))
+    return G.glob_pairs(inputs("shaped_patterns"), inputs("shaped_names", heavy=True))
 
 
 @query("pattern_coverage", ("shaped_patterns", "shaped_names"), """

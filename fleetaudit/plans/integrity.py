@@ -72,7 +72,7 @@ def children(inputs):
 
 def child_findings(inputs):
     return R.child_issues(
-        resolved(inputs), patterns(inputs), names(inputs), mapped(inputs), paths(inputs), inputs("object_fields"), inputs("object_docs")
+        resolved(inputs), patterns(inputs), names(inputs), mapped(inputs), paths(inputs), inputs("object_fields"), inputs("object_docs", heavy=True)
     )
 
 
@@ -101,7 +101,7 @@ def missing_fields(inputs):
 
 @query("invalid_search_source", ("object_docs",), SOURCES + "SELECT * FROM ssi")
 def invalid_search_source(inputs):
-    return R.search_source_issues(inputs("object_docs"))
+    return R.search_source_issues(inputs("object_docs", heavy=True))
 
 
 @query("panel_issues", ("panels",), """

@@ -85,7 +85,7 @@ UNION ALL SELECT type, id, json_extract_string(v, '$.terms_field'), concat('TSVB
 UNION ALL SELECT type, id, json_extract_string(f, '$.meta.key'), 'filter' FROM fil WHERE json_type(f, '$.meta.key') = 'VARCHAR'
 UNION ALL SELECT f.type, f.id, k.key, concat('filter ', c.clause) FROM fil f, (VALUES ('match_phrase'), ('match'), ('term'), ('range')) c(clause), json_each(json_extract(f.f, '$.query.' || c.clause)) k""")
 def referenced_fields(inputs):
-    return O.referenced_fields(inputs("attribute_docs"))
+    return O.referenced_fields(inputs("attribute_docs", heavy=True))
 
 
 # ---------------------------------------------------------------------------
@@ -101,7 +101,7 @@ FROM (SELECT *, COALESCE(json_valid(search_source_json), false) AS ok, CASE WHEN
 def export_stripped(inputs):
     text = J.stripped_search_source(F.col("search_source_json"))
     doc = J.parsed(F.col("text"))
-    return inputs("object_docs").select("id", text.alias("text")).select(
+    return inputs("object_docs", heavy=True).select("id", text.alias("text")).select(
         "id",
         F.when(doc.isNull(), F.col("text")).otherwise(J.as_text(doc, "query", "query")).alias("query_text"),
         J.as_text(doc, "query", "language").alias("language"),
@@ -111,7 +111,7 @@ def export_stripped(inputs):
 
 def attribute_objects(inputs):
     reference = F.struct(F.lit("r").alias("name"), F.lit("search").alias("type"), F.concat(F.lit("s"), F.col("o_custkey").cast("string")).alias("id"))
-    return inputs("attribute_docs").select(
+    return inputs("attribute_docs", heavy=True).select(
         "type", "id", F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("title"), "attributes", F.array(reference).alias("references")
     )
 
@@ -190,7 +190,7 @@ SELECT concat('idx-', o_orderkey) AS index_name, CASE WHEN o_orderkey % 3 <> 0 T
   o_orderkey % 5 = 0 AS failed, CAST(o_orderkey % 4 AS INTEGER) AS retries, 1700000000000 + o_orderkey AS start_time,
   CASE WHEN o_orderkey % 2 = 0 THEN '{"message":"m"}' ELSE 'as text' END AS info FROM orders""")
 def explain_response(inputs):
-    return readers.explain_rows(inputs("explain_bodies")).select(
+    return readers.explain_rows(inputs("explain_bodies", heavy=True)).select(
         "index_name", "policy_id_setting", "policy_id", "policy_seq_no", F.col("state.name").alias("state"),
         F.col("action.failed").alias("failed"), F.col("action.consumed_retries").alias("retries"),
         F.col("step.start_time").alias("start_time"), "info",

@@ -41,7 +41,7 @@ def test_scope_keeps_clusters_apart(spark):
 
 def test_kinds(spark):
     kinds = {"logs": "exact", "": "exact", "lo*": "prefix", "*x": "suffix", "*": "any", "a*b": "ends", "a?b": "head", "*mid*": "inner", "?b*": "gram",
-             "??*": "shape", "[ab]": "shape", "a[": "exact"}
+             "??*": "shape", "[ab]": "shape", "a[": "exact", "a[*]": "exact", "[?]*": "prefix", "a?bb*": "head"}
     df = spark.createDataFrame([(k,) for k in kinds], "pattern string")
     assert {r.pattern: r.kind for r in anchored_patterns(df, "pattern").collect()} == kinds
 
