@@ -90,7 +90,7 @@ def policy_status(
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
     policy = policy_of()
 
-    failed = F.coalesce(F.col("action.failed"), F.lit(False)) | F.coalesce(F.col("retry_info.failed"), F.lit(False))
+    failed = F.col("has_failed")
     reported = F.lower(S.first_present(F.col("step.step_status"), F.lit("unknown")))
     status = F.when(failed & ~reported.isin(*FAILED_STATUSES), "failed").otherwise(reported)
 
@@ -106,7 +106,12 @@ def policy_status(
     message = F.btrim(F.coalesce(in_object, text), F.lit(WHITESPACE))
     start = F.col("step.start_time")
 
-    rows = _named(explain, "index_name", index_filter).filter(S.is_present(policy)).select(
+    managed = _named(explain, "index_name", index_filter).filter(S.is_present(policy))
+    flags = {
+        "has_failed": F.coalesce("action.failed", F.lit(False)) | F.coalesce("retry_info.failed", F.lit(False)),
+        "message": message,
+    }
+    rows = managed.withColumns(flags).select(
         *scope,
         F.col("index_name").alias("index"),
         policy.alias("policy"),
@@ -116,7 +121,7 @@ def policy_status(
         status.alias("step_status"),
         S.first_nonzero(F.col("action.consumed_retries"), F.col("retry_info.consumed_retries")).cast("int").alias("retries"),
         F.when(S.first_nonzero(start) != 0, S.duration_text(now - start)).otherwise("-").alias("time_in_step"),
-        J.let(message, lambda m: S.first_present(m, F.when(failed, "(see ISM history)").otherwise(""))).alias("error"),
+        S.first_present(F.col("message"), F.when(failed, "(see ISM history)").otherwise("")).alias("error"),
     )
     return rows.filter(F.col("step_status").isin(*FAILED_STATUSES)) if failed_only else rows
 
