@@ -309,9 +309,12 @@ def export_records(lines: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def read_export(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """NDJSON files -> records, numbered in ``ordinal`` by file, then by place in the file."""
+    """NDJSON files -> records, numbered in ``ordinal`` by file, then by place in the file.
+
+    Directories are read in depth; the type directories of an export are no extra column.
+    """
     wanted = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
-    lines = spark.read.text(wanted).select(
+    lines = spark.read.option("recursiveFileLookup", "true").text(wanted).select(
         "value",
         F.struct(
             F.col("_metadata.file_path").alias("file"),

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 def snapshot_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Response bodies as they arrive, one row per file in the column ``value``."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("wholetext", "true").text(path)
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path, wholetext=True)
 
 
 def batch_reports(stream: DataFrame, report: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> DataStreamWriter:
