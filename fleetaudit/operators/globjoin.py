@@ -171,10 +171,6 @@ def _fits() -> Column:
     )
 
 
-def _salts(count: int) -> Column:
-    return F.array(*[F.lit(i) for i in range(count)])
-
-
 def _salt_of_name(count: int) -> Column:
     return F.coalesce(F.pmod(F.xxhash64("name"), F.lit(count)).cast("int"), F.lit(0))
 
@@ -193,10 +189,14 @@ def glob_pairs(
     spread over ``salts`` tasks by a hash of the name; patterns are copied to each salt.
     Every row of ``names`` is matched by itself and keeps the columns in ``carry``.
     """
-    anchored = anchored_patterns(patterns, pattern_column, scope)
+    pairs = _pairs(anchored_patterns(patterns, pattern_column, scope), names, scope, salts, carry)
+    return pairs.select(*scope, "pattern", "name", *carry)
+
+
+def _pairs(anchored: DataFrame, names: DataFrame, scope: Sequence[str], salts: int, carry: Sequence[str] = ()) -> DataFrame:
     left = _anchored_names(names, anchored, scope, carry).withColumn("salt", _salt_of_name(salts))
-    right = anchored.withColumn("salt", F.explode(_salts(salts)))
-    return left.join(right, [*scope, *ANCHOR, "salt"]).filter(_fits()).select(*scope, "pattern", "name", *carry)
+    right = anchored.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return left.join(right, [*scope, *ANCHOR, "salt"]).filter(_fits())
 
 
 def covered_patterns(
@@ -204,19 +204,13 @@ def covered_patterns(
 ) -> DataFrame:
     """The distinct patterns that match at least one name.
 
-    Where the anchor alone decides, the name is blanked out, so that names shrink to
-    distinct anchors inside the map tasks before they are shuffled. The others keep their
-    names and are spread over ``salts`` tasks; the semi join stops at the first match.
+    Where the anchor alone decides, names shrink to distinct anchors inside the map tasks
+    before they are shuffled. The other patterns meet the single names; as long as those
+    patterns are few enough for Spark to broadcast them, the names are not shuffled at all.
     """
     anchored = anchored_patterns(patterns, pattern_column, scope)
-    certain = F.col("kind").isin(*CERTAIN)
-    answered = (
-        _anchored_names(names, anchored, scope)
-        .withColumn("salt", F.when(certain, 0).otherwise(_salt_of_name(salts)))
-        .withColumn("name", F.when(certain, "").otherwise(F.col("name")))
-        .distinct()
-        .withColumnsRenamed({c: f"n_{c}" for c in (*scope, *ANCHOR, "salt")})
-    )
-    asked = anchored.withColumn("salt", F.explode(F.when(certain, _salts(1)).otherwise(_salts(salts))))
-    same = [F.col(c) == F.col(f"n_{c}") for c in (*scope, *ANCHOR, "salt")]
-    return asked.join(answered, [*same, _fits()], "left_semi").select(*scope, "pattern").distinct()
+    by_anchor = F.col("kind").isin(*CERTAIN)
+    certain, others = anchored.filter(by_anchor), anchored.filter(~by_anchor)
+    answered = _anchored_names(names, certain, scope).select(*scope, *ANCHOR).distinct()
+    found = certain.join(answered, [*scope, *ANCHOR], "left_semi").select(*scope, "pattern")
+    return found.unionByName(_pairs(others, names, scope, salts).select(*scope, "pattern").distinct())

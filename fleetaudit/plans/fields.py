@@ -169,7 +169,7 @@ def pattern_matches(inputs):
 @query("pattern_coverage", ("shaped_patterns", "shaped_names"), """
 SELECT DISTINCT pattern FROM shaped_patterns WHERE EXISTS (SELECT 1 FROM shaped_names WHERE name GLOB pattern)""")
 def pattern_coverage(inputs):
-    return G.covered_patterns(inputs("shaped_patterns"), inputs("shaped_names"))
+    return G.covered_patterns(inputs("shaped_patterns"), inputs("shaped_names", heavy=True))
 
 
 # Index names, patterns and their fields, as the reference checks use them too.
