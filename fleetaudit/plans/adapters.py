@@ -168,7 +168,7 @@ SQL["saved_objects"] = """
 SELECT 'index-pattern' AS type, concat('ip-', p_partkey) AS id,
        CASE WHEN p_partkey % 12 = 0 THEN '' WHEN p_partkey % 5 = 0 THEN concat('nolog-', p_partkey, '*')
             ELSE concat('logs-', p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '*' ELSE '' END) END AS title,
-       CASE WHEN p_partkey % 3 = 0 THEN concat('f', p_partkey) END AS time_field
+       CASE WHEN p_partkey % 9 = 0 THEN concat('when', p_partkey) WHEN p_partkey % 3 = 0 THEN concat('f', p_partkey) END AS time_field
 FROM part
 UNION ALL
 SELECT 'search', concat(CASE WHEN s_suppkey % 8 = 7 THEN 'lost-' ELSE 'se-' END, s_suppkey), s_name, NULL FROM supplier

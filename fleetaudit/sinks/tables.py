@@ -26,9 +26,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str] = OBJECT
     write it beside the old one and swap, since Spark can't overwrite what it reads.
     """
     fresh = last_per_key(incoming, key, order).drop(order) if order else incoming
-    return existing.join(fresh.select(*key), [*key], "left_anti").select(*existing.columns).unionByName(
-        fresh.select(*existing.columns)
-    )
+    kept = existing.join(incoming.select(*key).distinct(), [*key], "left_anti")
+    return kept.select(*existing.columns).unionByName(fresh.select(*existing.columns))
 
 
 def delete(existing: DataFrame, doomed: DataFrame, key: Sequence[str] = OBJECT_KEY) -> DataFrame:
