@@ -158,12 +158,11 @@ def with_multi_field_parents(fields: DataFrame, scope: Sequence[str] = ()) -> Da
     ``fields`` has one row per field with its ``primary_type``.
     """
     leaves = fields.filter(~F.col("primary_type").isin("object", "nested")).select(
-        *scope, F.col("name").alias("multi_parent")
+        *[F.col(c).alias(f"parent_{c}") for c in scope], F.col("name").alias("multi_parent")
     )
+    same = [F.col(c) == F.col(f"parent_{c}") for c in scope]
     dotted = fields.withColumn("parent", parent_path(F.col("name")))
-    keys = [dotted[c] == leaves[c] for c in scope]
-    on = [*keys, dotted["parent"] == leaves["multi_parent"]]
-    return dotted.join(leaves.alias("leaves"), on, "left").select(*[dotted[c] for c in fields.columns], leaves["multi_parent"])
+    return dotted.join(leaves, [*same, F.col("parent") == F.col("multi_parent")], "left").select(*fields.columns, "multi_parent")
 
 
 def live_field_list(caps: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
