@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fleetaudit.functions import jsonops as J
 from fleetaudit.functions import scalars as S
 from fleetaudit.operators import references as R
+from fleetaudit.sources.layout import kept
 
 # Object types, stand-in title, dropped workspace, names of the checked clauses.
 SAVED_TYPES = ("dashboard", "visualization", "search")
@@ -218,15 +219,22 @@ def validate_dashboards(
     mappings: DataFrame,
     dashboard_ids: list[str] | DataFrame | None = None,
     scope: Sequence[str] = (),
+    keep: bool = False,
 ) -> Validation:
-    """Full check of dashboards from saved objects, index names and raw mappings."""
+    """Full check of dashboards from saved objects, index names and raw mappings.
+
+    With ``keep``, references and findings are worked out once, right away, and kept in the
+    checkpoint folder; otherwise each of the four results works them out when it is used.
+    """
+    store = kept if keep else (lambda df: df)
     listed = objects.select(*scope, "type", "id", "title")
-    resolved = R.resolved_edges(reference_edges(objects, scope), listed, scope)
+    resolved = store(R.resolved_edges(reference_edges(objects, scope), listed, scope))
     patterns, panels = index_patterns(objects, scope), dashboard_panels(objects, scope)
     mapped, paths = flattened_mappings(mappings, scope)
-    children = R.child_issues(
+    found = R.child_issues(
         resolved, patterns, names, mapped, paths, referenced_fields(objects, scope), search_sources(objects, scope), scope
     )
+    children = store(found)
     report = R.dashboard_report(listed, resolved, panels, children, dashboard_ids, scope)
     issues = R.only_ids(R.dashboard_issues(resolved, panels, children, scope), dashboard_ids)
     whole = R.global_issues(patterns, names, mapped, paths, scope)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
@@ -13,3 +15,19 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows written to the session's checkpoint folder and read from there from now on.
+
+    For a result that several outputs share. The folder is the one the session names in
+    ``spark.checkpoint.dir``; only a local session without that setting gets one of its own.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="fleetaudit-"))
+    return df.checkpoint()

@@ -104,7 +104,7 @@ def test_issues(frames):
 
 
 def test_report_and_summary(frames):
-    result = O.validate_dashboards(*frames)
+    result = O.validate_dashboards(*frames, keep=True)
     got = {r.id: (r.status, r.errors, r.warnings) for r in result.dashboards.collect()}
     assert got == {"d-ok": ("ok", 0, 0), "d-twice": ("error", 2, 0), "d-all": ("error", 9, 3), "d-search": ("error", 4, 0),
                    "d-empty": ("warning", 0, 1), "d-blank": ("error", 1, 1), "d-panels": ("ok", 0, 0)}
