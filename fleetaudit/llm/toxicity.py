@@ -86,24 +86,27 @@ def _beginnings(word: bytes) -> set[bytes]:
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """Contents of the ordinary and the toxic dictionary.
 
-    The ordinary one is trained on windows. The toxic one is the same and, behind it,
-    the words of toxic texts whose beginnings are found in many contexts there and in few ordinary texts,
-    commonest last, where a match is cheapest.
+    The ordinary one is trained on windows. The toxic one is the same and, behind it, the
+    words of toxic texts whose beginnings are found in many contexts there and in few
+    ordinary texts, commonest last, where a match is cheapest.
     """
-    plain, contexts = Counter(), {}
-    for text in ordinary:
-        plain.update(set().union(*map(_beginnings, set(words_of(text)))))
+    found = [Counter(), Counter()]
+    for kind, texts in enumerate((ordinary, toxic)):
+        for text in texts:
+            found[kind].update(set().union(*map(_beginnings, set(words_of(text)))))
+    # Of all beginnings, not one would be expected in so many toxic and no other texts by chance.
+    chance = (log(len(found[1]) + 1) + 3) / log((len(toxic) + len(ordinary)) / len(toxic))
+    least = max(chance, SHARE * len(toxic))
+    odds = lambda n, of: log((n + 0.5) / (of + 1))
+    marks = {g for g, n in found[1].items() if len(g) >= BEGINNINGS[0] and n >= least and odds(n, len(toxic)) - odds(found[0][g], len(ordinary)) > LOG_ODDS}
+    # Copies of one toxic text share its words and what stands before them, which words that mark don't.
+    contexts: dict[bytes, set[bytes]] = {g: set() for g in marks}
     for text in toxic:
         words = words_of(text)
         for before, word in zip([b"", *words], words):
-            for g in _beginnings(word):
-                contexts.setdefault(g, set()).add(before)
-    # Copies of one toxic text share its words and their contexts, so contexts are counted; and
-    # so many that, of all beginnings, not one would be expected to have them by chance.
-    chance = (log(len(contexts) + 1) + 3) / log((len(toxic) + len(ordinary)) / len(toxic))
-    least = max(chance, SHARE * len(toxic))
-    odds = lambda n, of: log((n + 0.5) / (of + 1))
-    marks = {g for g, c in contexts.items() if len(g) >= BEGINNINGS[0] and len(c) >= least and odds(len(c), len(toxic)) - odds(plain[g], len(ordinary)) > LOG_ODDS}
+            for g in marks & _beginnings(word):
+                contexts[g].add(before)
+    marks = {g for g in marks if len(contexts[g]) >= least}
     words = Counter(w.strip(b".,;:!?") for text in toxic for w in words_of(text) if not marks.isdisjoint(_beginnings(w)))
     windows = [w for text in ordinary for w in windows_of(words_of(text))]
     step = max(1, len(windows) // 60_000)
