@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from fleetaudit.llm.common import id_crc, text_or_empty
 
 #: At most so many toxic and so many ordinary documents train the model, in order of a hash of their id, and none over so many bytes.
-TOXIC_SAMPLE, ORDINARY_SAMPLE, LONGEST = 2_500, 5_000, 40_000
+TOXIC_SAMPLE, ORDINARY_SAMPLE, LONGEST = 2_000, 4_000, 30_000
 WINDOW, ORDINARY_BYTES, TOXIC_WORDS = 4, 2048, 1500
 #: Beginnings of words that may mark toxic text, the share of toxic documents that have one, and its log odds.
 BEGINNINGS, SHARE, LOG_ODDS = (4, 5, 6, 8), 0.02, 3.0
@@ -90,15 +90,18 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     words of toxic texts whose beginnings are found in many contexts there and in few
     ordinary texts, commonest last, where a match is cheapest.
     """
-    found = [Counter(), Counter()]
-    for kind, texts in enumerate((ordinary, toxic)):
-        for text in texts:
-            found[kind].update(set().union(*map(_beginnings, set(words_of(text)))))
+    found = Counter()
+    for text in toxic:
+        found.update(set().union(*map(_beginnings, set(words_of(text)))))
     # Of all beginnings, not one would be expected in so many toxic and no other texts by chance.
-    chance = (log(len(found[1]) + 1) + 3) / log((len(toxic) + len(ordinary)) / len(toxic))
+    chance = (log(len(found) + 1) + 3) / log((len(toxic) + len(ordinary)) / len(toxic))
     least = max(chance, SHARE * len(toxic))
+    found = {g: n for g, n in found.items() if len(g) >= BEGINNINGS[0] and n >= least}
+    plain = Counter()
+    for text in ordinary:
+        plain.update(found.keys() & set().union(*map(_beginnings, set(words_of(text)))))
     odds = lambda n, of: log((n + 0.5) / (of + 1))
-    marks = {g for g, n in found[1].items() if len(g) >= BEGINNINGS[0] and n >= least and odds(n, len(toxic)) - odds(found[0][g], len(ordinary)) > LOG_ODDS}
+    marks = {g for g, n in found.items() if odds(n, len(toxic)) - odds(plain[g], len(ordinary)) > LOG_ODDS}
     # Copies of one toxic text share its words and what stands before them, which words that mark don't.
     contexts: dict[bytes, set[bytes]] = {g: set() for g in marks}
     for text in toxic:
