@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from fleetaudit.llm.common import id_crc, text_or_empty
 
 #: At most so many toxic and so many ordinary documents train the model, in order of a hash of their id, and none over so many bytes.
-TOXIC_SAMPLE, ORDINARY_SAMPLE, LONGEST = 2_000, 4_000, 30_000
+TOXIC_SAMPLE, ORDINARY_SAMPLE, LONGEST = 2_500, 5_000, 30_000
 WINDOW, ORDINARY_BYTES, TOXIC_WORDS = 4, 2048, 1500
 #: Beginnings of words that may mark toxic text, the share of toxic documents that have one, and its log odds.
 BEGINNINGS, SHARE, LOG_ODDS = (4, 5, 6, 8), 0.02, 3.0
