@@ -134,16 +134,27 @@ def apply_conditions(current: Column, updates: Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def _descend(text: Column, start: Column, max_depth: int, step: Callable[[Column], Column]) -> Column:
+def nesting(text: Column) -> Column:
+    """How deep the brackets of a JSON text are nested; those inside its strings don't count."""
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*"', "")
+    brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]+", ""), "")
+    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
+
+    def count(s: Column, bracket: Column) -> Column:
+        now = s["open"] + F.when(bracket.isin("[", "{"), 1).when(bracket == "", 0).otherwise(-1)
+        return F.struct(now.alias("open"), F.greatest(s["most"], now).alias("most"))
+
+    return F.aggregate(brackets, start, count, lambda s: s["most"])
+
+
+def _descend(text: Column, start: Column, step: Callable[[Column], Column]) -> Column:
     """Walk a document level by level inside one row.
 
     ``start`` is the array of nodes of the first level; ``step`` maps the nodes of a level
     to a struct of the next ``level`` and of the texts ``found`` on this one. There are as
-    many rounds as the text has opening brackets, but no more than ``max_depth``: a deeper
-    document fails the job instead of losing values.
+    many rounds as the document is deep.
     """
-    brackets = F.length(text) - F.length(F.translate(text, "{[", ""))
-    rounds = F.greatest(F.lit(1), F.least(F.lit(max_depth), F.coalesce(brackets, F.lit(1))))
+    rounds = F.greatest(F.lit(1), F.coalesce(nesting(text), F.lit(1)))
     state = F.struct(start.alias("level"), F.array().cast("array<string>").alias("found"))
     walked = F.aggregate(
         F.sequence(F.lit(1), rounds),
@@ -152,11 +163,10 @@ def _descend(text: Column, start: Column, max_depth: int, step: Callable[[Column
             step(s["level"]), lambda n: F.struct(n["level"].alias("level"), F.concat(s["found"], n["found"]).alias("found"))
         ),
     )
-    too_deep = F.raise_error(F.lit(f"document is nested deeper than {max_depth} levels")).cast("array<string>")
-    return let(walked, lambda w: F.when(F.size(w["level"]) > 0, too_deep).otherwise(w["found"]))
+    return walked["found"]
 
 
-def mapping_paths(properties: Column, max_depth: int = 20) -> Column:
+def mapping_paths(properties: Column) -> Column:
     """Dotted field paths of a mapping's text: object parents, leaves and multi-fields."""
 
     def nodes(obj: Column, prefix: Column) -> Column:
@@ -172,10 +182,10 @@ def mapping_paths(properties: Column, max_depth: int = 20) -> Column:
         below = F.transform(level, lambda n: nodes(as_object(n["node"], "properties"), F.concat(n["path"], F.lit("."))))
         return F.struct(F.flatten(below).alias("level"), F.flatten(F.transform(level, paths)).alias("found"))
 
-    return F.array_distinct(_descend(properties, nodes(as_object(parsed(properties)), F.lit("")), max_depth, step))
+    return F.array_distinct(_descend(properties, nodes(as_object(parsed(properties)), F.lit("")), step))
 
 
-def values_of_key(document: Column, key: str = "field", max_depth: int = 32) -> Column:
+def values_of_key(document: Column, key: str = "field") -> Column:
     """Every text held by ``key`` at any depth of a JSON text, repeats kept."""
     is_hit = lambda e: (e["key"] == key) & as_text(e["value"]).isNotNull()
 
@@ -190,7 +200,7 @@ def values_of_key(document: Column, key: str = "field", max_depth: int = 32) ->
 
         return let(entries, split)
 
-    return _descend(document, F.array_compact(F.array(parsed(document))), max_depth, step)
+    return _descend(document, F.array_compact(F.array(parsed(document))), step)
 
 
 # ---------------------------------------------------------------------------
@@ -211,8 +221,8 @@ def settings_policy(settings: Column) -> Column:
 def with_settings_policy(settings: Column, policy_id: Column) -> Column:
     """Settings text with the policy set, or taken out when ``policy_id`` says ``none``.
 
-    The nested key is written, parents left empty by a removal go with it, and a
-    dotted copy is always dropped because it would shadow the nested one.
+    Only the nested form is written, and objects that a removal empties are removed too.
+    Readers would prefer a key in the dotted form, so that one never stays.
     """
 
     def child(parent: Column, key: str) -> Column:

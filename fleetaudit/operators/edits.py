@@ -4,14 +4,16 @@ An edit table is joined to the policy table. Every edit yields one row with ``be
 ``after``, ``changed``, ``error``, ``seq_no`` and ``new_seq_no`` next to the new value of
 the edited column; ``commit`` writes the changed ones back. An edit may carry
 ``expected_seq_no``, the version its author read: if the policy has moved on since, the
-edit is a conflict and changes nothing.
+edit is a conflict and changes nothing. Of several edits that would change one policy only
+the first by ``edit_no`` does (without that column, by place in the table); they all were
+made for the same version, so the others are conflicts too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetaudit.functions import jsonops as J
@@ -31,19 +33,28 @@ OUT_OF_RANGE = "entry-index %d is out of range (%d entries)"
 EXISTS = "Policy '%s' already exists"
 
 
-def first_edit_per_policy(edits: DataFrame, order: str, scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def first_edit_per_policy(edits: DataFrame, order: str | None = None, scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Splits edits into the first one of each policy and those that lose against it.
 
     All were read at the same version, so only one can be written; the rest are conflicts.
     """
-    keys = [*scope, "policy_id"]
-    first = edits.groupBy(*keys).agg(F.min(order).alias(order))
-    lost = edits.join(first, [*keys, order], "left_anti").withColumn("error", F.lit(CONFLICT))
-    return edits.join(first, [*keys, order], "left_semi"), lost
+    ranked = edits.withColumn("edit_place", _place(edits, order)).withColumn("edit_rank", _rank([*scope, "policy_id"]))
+    first, lost = (ranked.filter(test).drop("edit_place", "edit_rank") for test in ("edit_rank = 1", "edit_rank > 1"))
+    return first, lost.withColumn("error", F.lit(CONFLICT))
+
+
+def _place(edits: DataFrame, order: str | None) -> Column:
+    """What decides between rivals: the order column, then the place in the table."""
+    return F.struct((F.col(order) if order else F.lit(None)).alias("order"), F.monotonically_increasing_id().alias("place"))
+
+
+def _rank(keys: Sequence[str]) -> Column:
+    return F.row_number().over(Window.partitionBy(*keys).orderBy("edit_place"))
 
 
 def _edited(edits: DataFrame, policies: DataFrame, scope: Sequence[str]) -> DataFrame:
-    joined = edits.join(policies.withColumn("found", F.lit(True)), [*scope, "policy_id"], "left")
+    placed = edits.withColumn("edit_place", _place(edits, "edit_no" if "edit_no" in edits.columns else None))
+    joined = placed.join(policies.withColumn("found", F.lit(True)), [*scope, "policy_id"], "left")
     return joined if "expected_seq_no" in joined.columns else joined.withColumn("expected_seq_no", F.col("seq_no"))
 
 
@@ -62,6 +73,9 @@ def _outcome(
     return (
         df.withColumn("error", problem)
         .withColumn("changed", F.col("error").isNull() & ~key.eqNullSafe(new_key))
+        .withColumn("rival", F.col("changed") & (_rank([*scope, "policy_id", "changed"]) > 1))
+        .withColumn("error", F.when(F.col("rival"), CONFLICT).otherwise(F.col("error")))
+        .withColumn("changed", F.col("changed") & ~F.col("rival"))
         .select(
             *scope,
             "policy_id",
@@ -101,18 +115,18 @@ def _replaced(array: Column, position: Column, change) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def create_policies(requests: DataFrame, policies: DataFrame, order: str = "policy_id", scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def create_policies(requests: DataFrame, policies: DataFrame, order: str | None = None, scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Policies with one state and no actions, from ``policy_id, description, state, patterns, priority``.
 
     Returns the new policies and the rejected requests: those whose policy exists, and,
-    of several requests for one new policy, all but the first by ``order``.
+    of several requests for one new policy, all but the first by ``order``, or by place in
+    the table.
     """
     keys = [*scope, "policy_id"]
     taken = requests.join(policies.select(*keys), keys, "left_semi")
     new = requests.join(policies.select(*keys), keys, "left_anti")
-    if order != "policy_id":
-        new, late = first_edit_per_policy(new, order, scope)
-        taken = taken.unionByName(late.drop("error"))
+    new, late = first_edit_per_policy(new, order, scope)
+    taken = taken.unionByName(late.drop("error"))
     state = S.first_present(F.col("state"), F.lit(DEFAULT_STATE))
     no_actions, no_transitions = F.array().cast("array<string>"), F.array().cast(T.TRANSITIONS)
     claim = F.struct(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetaudit.functions import jsonops as J
+
 from fleetaudit.functions.globs import matches_any
 from fleetaudit.functions.scalars import parent_path
 
@@ -193,13 +195,20 @@ def refresh_field_list(caps: DataFrame, cached: DataFrame, scope: Sequence[str]
     """A cached field list against the live one: every name with its change and its new entry.
 
     ``scope`` holds the pattern id when several lists are refreshed at once. ``cached`` has
-    ``name, type, count, scripted``, one row per name. Cached metadata and scripted fields
-    are kept as they are and hide a live field of the same name; ``count`` carries over.
+    ``name, type, count, scripted``, perhaps ``position`` (of several rows of a name the last
+    counts) and ``entry``, the whole entry as JSON. Cached metadata and scripted fields are
+    kept as they are, ``entry`` included, and hide a live field of the same name; ``count``
+    carries over.
     """
     live = live_field_list(caps, scope)
-    keys = [*scope, "name"]
+    keys, keep_entry = [*scope, "name"], "entry" in cached.columns
+    place = F.col("position") if "position" in cached.columns else F.monotonically_increasing_id()
+    entry = F.col("entry") if "entry" in cached.columns else F.lit(None).cast("string")
+    last = F.max_by(F.struct("type", "count", "scripted", entry.alias("entry")), "place")
+    cached = cached.withColumn("place", place).groupBy(*keys).agg(last.alias("row")).select(*keys, "row.*")
     old = cached.select(
         *keys,
+        F.col("entry").alias("cached_entry"),
         F.lit(True).alias("in_cache"),
         F.col("type").alias("cached_type"),
         F.col("count").alias("cached_count"),
@@ -222,6 +231,7 @@ def refresh_field_list(caps: DataFrame, cached: DataFrame, scope: Sequence[str]
         F.coalesce("cached_count", F.lit(0)).cast("bigint").alias("count"),
         F.when(preserved, F.col("cached_scripted")).otherwise(F.lit(False)).alias("scripted"),
         *[fresh(c) for c in ("es_types", "searchable", "aggregatable", "read_from_doc_values", "multi_parent")],
+        *([F.when(preserved, F.col("cached_entry")).alias("entry")] if keep_entry else []),
     )
 
 
@@ -230,6 +240,30 @@ def refreshed_entries(refresh: DataFrame) -> DataFrame:
     return refresh.filter(F.col("change") != "removed").drop("change", "in_cache")
 
 
+def cached_entries(patterns: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """The cached list inside index patterns (``scope`` and ``fields``, JSON text) as rows for :func:`refresh_field_list`.
+
+    Text that isn't a list has no entries; entries without a name are left out.
+    """
+    listed = patterns.select(*scope, F.posexplode(J.as_list(J.parsed(F.col("fields")))).alias("position", "e"))
+    return listed.select(
+        *scope, J.as_text(F.col("e"), "name").alias("name"), J.as_text(F.col("e"), "type").alias("type"),
+        F.coalesce(F.try_variant_get("e", "$.count", "bigint"), F.lit(0)).alias("count"),
+        F.coalesce(F.try_variant_get("e", "$.scripted", "boolean"), F.lit(False)).alias("scripted"), F.to_json("e").alias("entry"), "position",
+    ).filter("name IS NOT NULL")
+
+
+def refreshed_lists(refresh: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """A refresh as JSON text per pattern, ``fields``: preserved entries whole, the others built anew, by name."""
+    parent = F.when(F.col("multi_parent").isNotNull(), F.struct(F.struct(F.col("multi_parent").alias("parent")).alias("multi")))
+    built = F.to_json(F.struct(
+        "name", "type", F.col("es_types").alias("esTypes"), "count", "scripted", "searchable", "aggregatable",
+        F.col("read_from_doc_values").alias("readFromDocValues"), parent.alias("subType")))
+    texts = refreshed_entries(refresh).select(*scope, "name", F.coalesce("entry", built).alias("text"))
+    rows = texts.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct("name", "text"))).alias("rows"))
+    return rows.select(*scope, F.concat(F.lit("["), F.array_join("rows.text", ","), F.lit("]")).alias("fields"))
+
+
 def refresh_summary(refresh: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     return refresh.groupBy(*scope).agg(
         F.count_if("in_cache").alias("old_field_count"),

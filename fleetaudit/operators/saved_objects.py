@@ -190,7 +190,7 @@ def referenced_fields(objects: DataFrame, scope: Sequence[str] = ()) -> DataFram
     )
 
 
-def flattened_mappings(mappings: DataFrame, scope: Sequence[str] = (), max_depth: int = 20) -> tuple[DataFrame, DataFrame]:
+def flattened_mappings(mappings: DataFrame, scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Mappings as ``(index_name, mapping_id)`` and ``(mapping_id, path)``.
 
     Indices rolled over from one template share their mapping, so each distinct mapping
@@ -202,7 +202,7 @@ def flattened_mappings(mappings: DataFrame, scope: Sequence[str] = (), max_depth
     has_field = F.exists(F.map_values(fields), lambda v: J.as_object(v).isNotNull())
     distinct = keyed.select(*key, "properties").dropDuplicates(key).filter(has_field)
     mapped = keyed.select(*scope, "index_name", "mapping_id").join(distinct.select(*key), key, "left_semi")
-    paths = distinct.select(*key, F.explode(J.mapping_paths(F.col("properties"), max_depth)).alias("path"))
+    paths = distinct.select(*key, F.explode(J.mapping_paths(F.col("properties"))).alias("path"))
     return mapped, paths
 
 
@@ -285,8 +285,12 @@ def split_by_type(records: DataFrame, obj_type: str | None) -> tuple[DataFrame,
     return records.filter(same), records.filter(~same)
 
 
-def import_outcome(records: DataFrame, errors: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Result per imported record: ``type, id, title, error``; a NULL error means it went in."""
+def import_outcome(records: DataFrame, errors: DataFrame, scope: Sequence[str] = (), order: str = "error") -> DataFrame:
+    """Result per imported record: ``type, id, title, error``; a NULL error means it went in.
+
+    Of several errors for one object the last by ``order`` counts, by default the greatest text.
+    """
+    errors = errors.groupBy(*scope, "type", "id").agg(F.max_by("error", order).alias("error"))
     title = F.coalesce(J.as_text(J.parsed(F.col("attributes")), "title"), F.lit(NO_TITLE))
     return records.join(errors, [*scope, "type", "id"], "left").select(*scope, "type", "id", title.alias("title"), "error")
 

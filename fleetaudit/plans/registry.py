@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetaudit.plans.adapters import SQL, adapter, tables_in, with_adapters
-from fleetaudit.sources.layout import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -21,16 +20,14 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # the last of equal keys counts, as other readers have it
         self._views: dict[str, str] = {}
         self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def __call__(self, name: str, heavy: bool = False) -> DataFrame:
-        """The adapter; ``heavy`` inputs get one split per core where their file has fewer."""
-        if heavy:
-            return spread(self(name))
+    def __call__(self, name: str) -> DataFrame:
         if name not in self._built:
             for table in tables_in(SQL[name]):
                 if table not in self._views:

@@ -19,13 +19,13 @@ def last_per_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str] = OBJECT_KEY, order: str | None = None) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, order: str, key: Sequence[str] = OBJECT_KEY) -> DataFrame:
     """``existing`` with ``incoming`` written over it; a key that comes twice keeps its last row.
 
     ``order`` is the column of ``incoming`` that numbers its rows. The result is a new table:
     write it beside the old one and swap, since Spark can't overwrite what it reads.
     """
-    fresh = last_per_key(incoming, key, order).drop(order) if order else incoming
+    fresh = last_per_key(incoming, key, order).drop(order)
     kept = existing.join(incoming.select(*key).distinct(), [*key], "left_anti")
     return kept.select(*existing.columns).unionByName(fresh.select(*existing.columns))
 

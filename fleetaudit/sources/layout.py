@@ -1,33 +1,20 @@
-"""How inputs are split over tasks, and where intermediate tables go."""
+"""Where intermediate tables go."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores, if the scan has fewer splits than there are cores.
-
-    For narrow work that is heavy per row, such as parsing documents, on few or small
-    files. A scan with enough splits is left as it is and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def kept(df: DataFrame) -> DataFrame:
     """The rows written to the session's checkpoint folder and read from there from now on.
 
-    For a result that several outputs share. The folder is the one the session names in
-    ``spark.checkpoint.dir``; only a local session without that setting gets one of its own.
+    For a result that several outputs share. ``spark.checkpoint.dir`` has to name a folder
+    that all executors share.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
+        if not folder:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="fleetaudit-"))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()

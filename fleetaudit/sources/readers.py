@@ -9,6 +9,7 @@ bounded by what one cluster answered to one request, and files are read in paral
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -281,7 +282,7 @@ def search_documents(responses: DataFrame, scope: Sequence[str] = ()) -> DataFra
 def saved_objects(
     pages: DataFrame | None = None, documents: DataFrame | None = None, types: Sequence[str] = (), scope: Sequence[str] = ()
 ) -> DataFrame:
-    """One table from either layout, or from both."""
+    """One table from either layout, or from both, with one row per object: the last of its rows, documents after pages."""
     frames = []
     if pages is not None:
         found = objects_from_pages(pages, scope)
@@ -290,7 +291,10 @@ def saved_objects(
         frames.append(objects_from_documents(documents, types, scope))
     if not frames:
         raise ValueError("saved_objects needs at least one source")
-    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    placed = [f.withColumn("place", F.struct(F.lit(k).alias("layout"), F.monotonically_increasing_id().alias("row"))) for k, f in enumerate(frames)]
+    rows = reduce(DataFrame.unionByName, placed)
+    kept = F.struct(*[c for c in frames[0].columns])
+    return rows.groupBy(*[F.col(c).alias(f"key_{c}") for c in (*scope, "type", "id")]).agg(F.max_by(kept, "place").alias("kept")).select("kept.*")
 
 
 def export_records(lines: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -309,20 +313,24 @@ def export_records(lines: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def read_export(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """NDJSON files -> records, numbered in ``ordinal`` by file, then by place in the file.
+    """NDJSON files -> records, numbered in ``ordinal`` by argument, file name and place in the file.
 
     Directories are read in depth; the type directories of an export are no extra column.
     """
     wanted = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
-    lines = spark.read.option("recursiveFileLookup", "true").text(wanted).select(
-        "value",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("ordinal"),
-    )
-    return export_records(lines)
+    lines = [
+        spark.read.option("recursiveFileLookup", "true").text(path).select(
+            "value",
+            F.struct(
+                F.lit(place).alias("argument"),
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"),
+            ).alias("ordinal"),
+        )
+        for place, path in enumerate(wanted)
+    ]
+    return export_records(reduce(DataFrame.unionByName, lines))
 
 
 def detectors(responses: DataFrame, ids: Sequence[str] = (), scope: Sequence[str] = ()) -> DataFrame:

@@ -133,3 +133,19 @@ def test_template_edit(spark):
     assert (got["t"].before, got["t"].after, got["t"].error) == ("old", "new", None)
     assert json.loads(got["t"].settings) == {"index": {"plugins": {"index_state_management": {"policy_id": "new"}}}}
     assert (got["nope"].settings, got["nope"].error) == (None, "template 'nope' not found")
+
+
+def test_rival_edits_of_one_policy(spark, policies):
+    edits = spark.createDataFrame(
+        [("p", None, None, ["z*"], 0, None, 2), ("p", None, None, ["y*"], 0, None, 1)],
+        "policy_id string, replace array<struct<old:string,new:string>>, remove array<string>, add array<string>, entry_index int, priority int, edit_no int")
+    out = E.edit_ism_template(edits, policies, NOW)
+    assert sorted((r.changed, r.error) for r in out.collect()) == [(False, "version conflict"), (True, None)]
+    stored = E.commit(policies, out, "ism_template").filter("policy_id = 'p'").collect()
+    assert len(stored) == 1 and "y*" in stored[0].ism_template[0].index_patterns
+
+
+def test_rival_requests_without_order(spark, policies):
+    requests = spark.createDataFrame([("new", None, None, [], None)] * 2, "policy_id string, description string, state string, patterns array<string>, priority int")
+    created, rejected = E.create_policies(requests, policies)
+    assert (created.count(), rejected.count()) == (1, 1)

@@ -19,14 +19,16 @@ def test_mapping_paths(spark):
     assert _one(spark, "[1]", lambda t: J.mapping_paths(t)) == []
 
 
-def test_descent_fails_loudly_past_its_depth(spark):
+def test_descent_has_no_limit(spark):
     doc = {"type": "x"}
-    for i in range(6):
+    for i in range(40):
         doc = {f"p{i}": {"properties": doc}} if i else {"leaf": doc}
-    text = json.dumps(doc)
-    assert len(_one(spark, text, lambda t: J.mapping_paths(t, max_depth=6))) == 6
-    with pytest.raises(Exception, match="nested deeper"):
-        _one(spark, text, lambda t: J.mapping_paths(t, max_depth=3))
+    assert len(_one(spark, json.dumps(doc), J.mapping_paths)) == 40
+    body = {"field": "deep"}
+    for _ in range(45):
+        body = {"aggs": [body]}
+    assert _one(spark, json.dumps(body), J.values_of_key) == ["deep"]
+    assert _one(spark, json.dumps({"a": ']}\\"}}', "b": [{"c": "{{{["}]}), J.nesting) == 3
 
 
 def test_values_of_key(spark):

@@ -10,7 +10,6 @@ from fleetaudit.operators import lifecycle as L
 from fleetaudit.operators import saved_objects as O
 from fleetaudit.sinks import tables
 from fleetaudit.sources import readers
-from fleetaudit.sources.layout import spread
 from fleetaudit.streaming import snapshots
 
 
@@ -187,7 +186,29 @@ def test_stream_of_snapshots(spark, tmp_path):
     assert [(r["index"], r.batch_id) for r in spark.read.parquet(out).collect()] == [("i1", 0)]
 
 
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    assert "Exchange" not in spread(spark.range(10, numPartitions=cores))._jdf.queryExecution().executedPlan().toString()
+def test_export_files_come_in_argument_order(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.ndjson").write_text(json.dumps({"type": "t", "id": "1", "attributes": {"title": name}, "references": []}) + "\n")
+    read = readers.read_export(spark, [str(tmp_path / "b.ndjson"), str(tmp_path / "a.ndjson")])
+    stored = tables.upsert(read.drop("ordinal").limit(0), read, order="ordinal")
+    assert [json.loads(r.attributes)["title"] for r in stored.collect()] == ["a"]
+
+
+def test_one_row_per_object_and_error(spark, tmp_path):
+    page = {"saved_objects": [{"type": "t", "id": "1", "attributes": {"title": title}} for title in ("old", "new")]}
+    pages = readers.read_responses(spark, _dump(tmp_path / "p", page))
+    assert [r.title for r in readers.saved_objects(pages, None).collect()] == ["new"]
+    records = readers.saved_objects(pages, None)
+    errors = spark.createDataFrame([("t", "1", "first", 1), ("t", "1", "again", 2)], "type string, id string, error string, n int")
+    assert [r.error for r in O.import_outcome(records, errors, order="n").collect()] == ["again"]
+
+
+def test_refreshed_list_keeps_scripts(spark):
+    fields = json.dumps([{"name": "s", "type": "number", "count": 1, "scripted": True, "script": "old"},
+                         {"name": "s", "type": "number", "count": 2, "scripted": True, "script": "doc", "lang": "painless"}, {"name": "a", "type": "number", "count": 7}])
+    cached = D.cached_entries(spark.createDataFrame([("p", fields)], "pattern_id string, fields string"), ["pattern_id"])
+    caps = spark.createDataFrame([("p", "a", "keyword", "i", True, True)], "pattern_id string, field string, type string, index_name string, aggregatable boolean, searchable boolean")
+    refresh = D.refresh_field_list(caps, cached, ["pattern_id"])
+    a, s = json.loads(D.refreshed_lists(refresh, ["pattern_id"]).first().fields)
+    assert (a["esTypes"], a["count"], a["readFromDocValues"]) == (["keyword"], 7, True)
+    assert s == {"name": "s", "type": "number", "count": 2, "scripted": True, "script": "doc", "lang": "painless"}
