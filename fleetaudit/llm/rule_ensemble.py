@@ -28,18 +28,22 @@ def _count(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), chars, text))
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a text that is not null. None knows a language, a source or a label."""
-    n = word_count(text) + 1
-    size = F.length(text) + 1
-    upper = F.regexp_count(text, F.lit("[A-Z]"))
-    lines = F.split(text, "\n", -1)
-    return {name: value.cast("double") for name, value in {
-        "words": F.log1p(n), "word_size": size / n, "upper": upper / size, "exclaimed": _count(text, "!") / n, "symbols": _count(text, "#$%&*") / n,
-        "bars": _count(text, "|") / n, "stops": _count(text, ".") / n, "commas": _count(text, ",") / n, "wide": (F.octet_length(text) - F.length(text)) / size,
-        "digits": F.regexp_count(text, F.lit("[0-9]")) / size, "line_size": n / F.size(lines), "same_lines": 1 - F.size(F.array_distinct(lines)) / F.size(lines),
-        "stutter": F.regexp_count(text, F.lit(r"(?<!\S)(\S+) (?=\1(?!\S))")) / n,
-    }.items()}
+def statistics(text: Column) -> Column:
+    """Statistics of a text that is not null, as a struct. None knows a language, a source or a label.
+
+    What several of them need is bound once, as the optimizer would copy it to every use.
+    """
+    given = F.struct(text.alias("text"), (word_count(text) + 1).alias("n"), (F.length(text) + 1).alias("size"), F.split(text, "\n", -1).alias("lines"))
+
+    def of(g: Column) -> Column:
+        t, n, size, lines = g["text"], g["n"], g["size"], g["lines"]
+        values = (
+            F.log1p(n), size / n, F.regexp_count(t, F.lit("[A-Z]")) / size, _count(t, "!") / n, _count(t, "#$%&*") / n, _count(t, "|") / n,
+            _count(t, ".") / n, _count(t, ",") / n, (F.octet_length(t) - F.length(t)) / size, F.regexp_count(t, F.lit("[0-9]")) / size,
+            n / F.size(lines), 1 - F.size(F.array_distinct(lines)) / F.size(lines), F.regexp_count(t, F.lit(r"(?<!\S)(\S+) (?=\1(?!\S))")) / n)
+        return F.struct(*[value.cast("double").alias(name) for name, value in zip(STATISTICS, values, strict=True)])
+
+    return F.transform(F.array(given), of)[0]
 
 
 STATISTICS = ("words", "word_size", "upper", "exclaimed", "symbols", "bars", "stops", "commas", "wide", "digits", "line_size", "same_lines", "stutter")
@@ -51,8 +55,8 @@ class Bound:
     above: bool
     at: float
 
-    def holds(self, of: str) -> Column:
-        value = F.col(f"{of}.{self.statistic}")
+    def holds(self, of: Column) -> Column:
+        value = of[self.statistic]
         return value > self.at if self.above else value <= self.at
 
 
@@ -78,12 +82,16 @@ class Ensemble:
     intercept: float
     weights: tuple[tuple[Rule, float], ...]
 
-    def score(self, of: str) -> Column:
-        """The probability of label 1 from the struct column ``of`` of statistics."""
-        total = reduce(lambda a, b: a + b, [
-            F.when(reduce(lambda x, y: x & y, [b.holds(of) for b in sorted(rule, key=lambda b: (b.statistic, b.above, b.at))]), F.lit(weight)).otherwise(F.lit(0.0))
-            for rule, weight in self.weights], F.lit(self.intercept))
-        return 1 / (1 + F.exp(-total))
+    def score(self, stats: Column) -> Column:
+        """The probability of label 1 from a struct of statistics, which is worked out once for all rules."""
+
+        def of(s: Column) -> Column:
+            total = reduce(lambda a, b: a + b, [
+                F.when(reduce(lambda x, y: x & y, [b.holds(s) for b in sorted(rule, key=lambda b: (b.statistic, b.above, b.at))]), F.lit(weight)).otherwise(F.lit(0.0))
+                for rule, weight in self.weights], F.lit(self.intercept))
+            return 1 / (1 + F.exp(-total))
+
+        return F.transform(F.array(stats), of)[0]
 
 
 def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO) -> Ensemble:
@@ -100,7 +108,7 @@ def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float =
     rules = rules_of(forest)
     if not rules:
         return Ensemble(log((one + 1) / (zero + 1)), ())
-    held = [F.when(reduce(lambda x, y: x & y, [b.holds("stats") for b in rule]), 1.0).otherwise(0.0) for rule in rules]
+    held = [F.when(reduce(lambda x, y: x & y, [b.holds(F.col("stats")) for b in rule]), 1.0).otherwise(0.0) for rule in rules]
     model = LogisticRegression(featuresCol="r", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=60).fit(vectors.select("label", array_to_vector(F.array(*held)).alias("r")))
     weights = zip(rules, (float(w) for w in model.coefficients.toArray()))
     return Ensemble(float(model.intercept), tuple((rule, w) for rule, w in weights if w))
@@ -110,8 +118,7 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     """``stats`` and ``label`` of at most ``sample`` documents. Rows without id or with a label other than 0 and 1 are not used; of several labels, the largest."""
     picked = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    stats = F.struct(*[v.alias(k) for k, v in statistics(text_or_empty()).items()])
-    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "label", stats.alias("stats"))
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "label", statistics(text_or_empty()).alias("stats"))
     return written(found, "labelled").orderBy("doc_id").coalesce(1)
 
 
@@ -122,8 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemble:
 def scored(docs: DataFrame, model: Ensemble) -> DataFrame:
     """``docs`` as ``row`` (all columns) with ``score``. A null text counts as empty."""
     row = docs.select(F.struct("*").alias("row"))
-    stats = F.struct(*[v.alias(k) for k, v in statistics(F.coalesce("row.text", F.lit(""))).items()])
-    return row.select("row", stats.alias("stats")).select("row", model.score("stats").alias("score"))
+    return row.select("row", model.score(statistics(F.coalesce("row.text", F.lit("")))).alias("score"))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
