@@ -3,8 +3,8 @@
 An edit table is joined to the policy table. Every edit yields one row with ``before``,
 ``after``, ``changed``, ``error``, ``seq_no`` and ``new_seq_no`` next to the new value of
 the edited column; ``commit`` writes the changed ones back. An edit may carry
-``expected_seq_no``, the version its author read: if the policy has moved on since, the
-edit is a conflict and changes nothing. Of several edits that would change one policy only
+``expected_seq_no`` and ``expected_primary_term``, the version its author read: if either
+differs from the policy's by now, the edit is a conflict and changes nothing. Of several edits that would change one policy only
 the first by ``edit_no`` does (without that column, by place in the table); they all were
 made for the same version, so the others are conflicts too.
 """
@@ -55,7 +55,11 @@ def _rank(keys: Sequence[str]) -> Column:
 def _edited(edits: DataFrame, policies: DataFrame, scope: Sequence[str]) -> DataFrame:
     placed = edits.withColumn("edit_place", _place(edits, "edit_no" if "edit_no" in edits.columns else None))
     joined = placed.join(policies.withColumn("found", F.lit(True)), [*scope, "policy_id"], "left")
-    return joined if "expected_seq_no" in joined.columns else joined.withColumn("expected_seq_no", F.col("seq_no"))
+    moved_on = F.lit(False)
+    for version in ("seq_no", "primary_term"):
+        if f"expected_{version}" in edits.columns:
+            moved_on = moved_on | F.coalesce(F.col(f"expected_{version}") != F.col(version), F.lit(False))
+    return joined.withColumn("moved_on", moved_on)
 
 
 def _outcome(
@@ -67,7 +71,7 @@ def _outcome(
     """
     problem = (
         F.when(F.col("found").isNull(), F.format_string(NO_POLICY, "policy_id"))
-        .when(F.col("expected_seq_no") != F.col("seq_no"), CONFLICT)
+        .when(F.col("moved_on"), CONFLICT)
         .otherwise(error)
     )
     return (

@@ -11,11 +11,12 @@ exact      ``logs``                the whole name
 prefix     ``logs-*``              the first characters
 suffix     ``*-old``               the last characters
 any        ``*``                   none, every name matches
-ends       ``logs-*-old``          the first characters, then the last ones are compared
+ends       ``logs-*-old``          the first characters and the last ones
 inner      ``*mid*``               its first 3 characters, then the whole text is looked for
 head       ``logs-?*``             the first characters, then the regex
 gram       ``?ab*c``               first 3 characters of the longest fixed run, then the regex
-shape      ``??``, ``[ab]*``       least name length, then the regex
+length     ``??``, ``[ab]``        name length, then the regex
+shape      ``??*``, ``[ab]*``      least name length, then the regex
 =========  ======================  ==========================================
 
 Names are expanded only for the kinds and lengths that some pattern asks for; that small
@@ -32,13 +33,13 @@ from pyspark.sql import functions as F
 from fleetaudit.functions.globs import glob_regex, tokens
 
 GRAM = 3
-CERTAIN = ("exact", "prefix", "suffix", "any")
+CERTAIN = ("exact", "prefix", "suffix", "any", "ends")
 FROM_START = ("prefix", "head", "ends")
-ANCHOR = ("kind", "size", "anchor")
+ANCHOR = ("kind", "size", "tail", "anchor")
 
 
 def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = ()) -> DataFrame:
-    """Distinct patterns with ``kind``, ``size`` and ``anchor``, and the regex where one is needed."""
+    """Distinct patterns with ``kind``, ``size``, ``tail`` (size of the second piece) and ``anchor``, and the regex where one is needed."""
     toks, marks = F.col("toks"), F.col("marks")
     kind_of = F.col("kind")
     # One letter per token: L fixed character, A any run, Q any character, S set.
@@ -60,13 +61,14 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
         .when(F.rlike(marks, F.lit("^A+L+A+$")), "inner")
         .when(F.rlike(marks, F.lit("^L")), "head")
         .when(F.contains(marks, F.lit("L")), "gram")
-        .otherwise("shape")
+        .when(F.contains(marks, F.lit("A")), "shape")
+        .otherwise("length")
     )
     size = (
         F.when(kind_of.isin(*FROM_START), head)
         .when(kind_of == "suffix", tail)
         .when(kind_of.isin("gram", "inner"), F.least(F.col("run"), F.lit(GRAM)))
-        .when(kind_of == "shape", F.length(F.replace(marks, F.lit("A"), F.lit(""))))
+        .when(kind_of.isin("shape", "length"), F.length(F.replace(marks, F.lit("A"), F.lit(""))))
         .otherwise(0)
     )
 
@@ -75,6 +77,7 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
 
     anchor = (
         F.when(kind_of == "exact", F.array_join(toks, ""))
+        .when(kind_of == "ends", F.concat(piece(1, F.col("size")), piece(F.size(toks) - F.col("tail") + 1, F.col("tail"))))
         .when(kind_of.isin(*FROM_START), piece(1, F.col("size")))
         .when(kind_of == "suffix", piece(F.size(toks) - F.col("size") + 1, F.col("size")))
         .when(kind_of.isin("gram", "inner"), piece(run_start, F.col("size")))
@@ -84,12 +87,9 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     # these expressions, down to the scan.
     size, anchor = F.coalesce(size, F.lit(0)), F.coalesce(anchor, F.lit(""))
     # What is left to compare once the anchors agree; NULL when nothing is. A text that a
-    # matching name must contain (or end with) comes first, since it is far cheaper than the regex.
-    probe = (
-        F.when(kind_of == "ends", piece(F.size(toks) - tail + 1, tail))
-        .when(~kind_of.isin(*CERTAIN), piece(run_start, F.col("run")))
-    )
-    regex = F.when(~kind_of.isin(*CERTAIN, "ends", "inner"), glob_regex(F.col("pattern")))
+    # matching name must contain comes first, since it is far cheaper than the regex.
+    probe = F.when(~kind_of.isin(*CERTAIN), piece(run_start, F.col("run")))
+    regex = F.when(~kind_of.isin(*CERTAIN, "inner"), glob_regex(F.col("pattern")))
     return (
         patterns.select(*scope, F.col(column).alias("pattern"))
         .filter(F.col("pattern").isNotNull())
@@ -100,6 +100,7 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
         .withColumn("kind", kind)
         .withColumn("run", longest)
         .withColumn("size", size)
+        .withColumn("tail", F.when(kind_of == "ends", F.coalesce(tail, F.lit(0))).otherwise(0))
         .withColumn("anchor", anchor)
         .withColumn("probe", probe)
         .withColumn("regex", regex)
@@ -118,17 +119,17 @@ def _is_set(token: Column) -> Column:
 
 def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """Each name once per anchor that ``anchored`` could ask it for."""
-    demand = anchored.select(F.coalesce(F.collect_set(F.struct("kind", "size")), F.array()).alias("d"))
+    demand = anchored.select(F.coalesce(F.collect_set(F.struct("kind", "size", "tail")), F.array()).alias("d"))
     name = F.col("name")
 
     def answers(d: Column) -> Column:
-        kind, size = d["kind"], d["size"]
+        kind, size, tail = d["kind"], d["size"], d["tail"]
 
         def one(text: Column) -> Column:
             return F.array(text)
 
         nothing = F.array().cast("array<string>")
-        long_enough = F.length(name) >= size
+        long_enough = F.length(name) >= size + tail
         grams = F.array_distinct(
             F.transform(F.sequence(F.lit(1), F.length(name) - size + 1), lambda i: F.substring(name, i, size))
         )
@@ -136,12 +137,14 @@ def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str],
             F.when(kind == "exact", one(name))
             .when(kind == "any", one(F.lit("")))
             .when(~long_enough, nothing)
+            .when(kind == "ends", one(F.concat(F.left(name, size), F.right(name, tail))))
             .when(kind.isin(*FROM_START), one(F.left(name, size)))
             .when(kind == "suffix", one(F.right(name, size)))
             .when(kind.isin("gram", "inner"), grams)
+            .when((kind == "length") & (F.length(name) > size), nothing)
             .otherwise(one(F.lit("")))
         )
-        return F.transform(found, lambda text: F.struct(kind.alias("kind"), size.alias("size"), text.alias("anchor")))
+        return F.transform(found, lambda text: F.struct(kind.alias("kind"), size.alias("size"), tail.alias("tail"), text.alias("anchor")))
 
     return (
         names.filter(name != "")
@@ -153,6 +156,7 @@ def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str],
             *carry,
             F.coalesce("at.kind", F.lit("")).alias("kind"),
             F.coalesce("at.size", F.lit(0)).alias("size"),
+            F.coalesce("at.tail", F.lit(0)).alias("tail"),
             F.coalesce("at.anchor", F.lit("")).alias("anchor"),
         )
     )
@@ -161,10 +165,8 @@ def _anchored_names(names: DataFrame, anchored: DataFrame, scope: Sequence[str],
 def _fits() -> Column:
     """Does a name that shares a pattern's anchor match the pattern?"""
     name, probe = F.col("name"), F.col("probe")
-    fixed = F.length(F.col("anchor")) + F.length(probe)
     return (
         F.when(probe.isNull(), True)
-        .when(F.col("kind") == "ends", F.endswith(name, probe) & (F.length(name) >= fixed))
         .when(~F.contains(name, probe), False)
         .when(F.col("kind") == "inner", True)
         .otherwise(F.rlike(name, F.col("regex")))

@@ -92,15 +92,19 @@ def pattern_mappings(titles: DataFrame, names: DataFrame, mapped: DataFrame, sco
     return pairs.select(*scope, F.col("pattern").alias("title"), "mapping_id").distinct()
 
 
-def pattern_fields(behind: DataFrame, paths: DataFrame, fields: DataFrame | None = None, scope: Sequence[str] = ()) -> DataFrame:
+def pattern_fields(behind: DataFrame, paths: DataFrame, asked: DataFrame | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Field set of every pattern title: ``title, field``. ``behind`` comes from ``pattern_mappings``.
 
-    With ``fields`` (a table of ``field``), only paths that somebody asks for meet the titles.
+    With ``asked`` (a table of ``title, field``), only those pairs are looked up, so that a
+    broad title doesn't meet all paths of its mappings.
     """
-    asked = paths.withColumnRenamed("path", "field")
-    if fields is not None:
-        asked = asked.join(fields.select(*scope, "field").distinct(), [*scope, "field"], "left_semi")
-    return behind.join(asked, [*scope, "mapping_id"]).select(*scope, "title", "field").distinct()
+    known = paths.withColumnRenamed("path", "field")
+    if asked is None:
+        found = behind.join(known, [*scope, "mapping_id"])
+    else:
+        pairs = asked.select(*scope, "title", "field").distinct().join(behind, [*scope, "title"])
+        found = pairs.join(known, [*scope, "mapping_id", "field"], "left_semi")
+    return found.select(*scope, "title", "field").distinct()
 
 
 def pattern_status(patterns: DataFrame, behind: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -129,16 +133,19 @@ def unmatched_patterns(patterns: DataFrame, names: DataFrame, scope: Sequence[st
 def absent_time_fields(status: DataFrame, behind: DataFrame, paths: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Patterns whose time field is not in the mapping: ``id, title, time_field``."""
     timed = status.filter(F.col("known") & S.is_present(F.col("time_field")))
-    wanted = status.select(*scope, F.col("time_field").alias("field")).filter(S.is_present(F.col("field")))
-    present = pattern_fields(behind, paths, wanted, scope).withColumnRenamed("field", "time_field")
+    present = pattern_fields(behind, paths, timed.withColumnRenamed("time_field", "field"), scope).withColumnRenamed("field", "time_field")
     return timed.join(present, [*scope, "title", "time_field"], "left_anti").select(*scope, "id", "title", "time_field")
 
 
 def global_issues(
-    patterns: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = ()
+    patterns: DataFrame, names: DataFrame, mapped: DataFrame, paths: DataFrame, scope: Sequence[str] = (), behind: DataFrame | None = None
 ) -> DataFrame:
-    """Problems of index patterns, each told once: ``pattern_id, level, check, message``."""
-    behind = pattern_mappings(titled(patterns), names, mapped, scope)
+    """Problems of index patterns, each told once: ``pattern_id, level, check, message``.
+
+    ``behind`` is the result of ``pattern_mappings`` where it is at hand.
+    """
+    if behind is None:
+        behind = pattern_mappings(titled(patterns), names, mapped, scope)
     status = pattern_status(patterns, behind, scope)
     untitled = F.when(F.col("title") == "", _text(NO_TITLE, F.col("id")))
     unmatched = status.filter("NOT covered").select(
@@ -263,7 +270,8 @@ def missing_fields(
     """
     checked = reads.filter(~F.startswith("field", F.lit("_")) & (F.col("field") != "*"))
     used = checked.join(children.filter("known").drop("covered", "known"), [*scope, "type", "id"])
-    present = pattern_fields(behind, paths, checked, scope).withColumnRenamed("title", "pattern_title")
+    asked = used.select(*scope, F.col("pattern_title").alias("title"), "field")
+    present = pattern_fields(behind, paths, asked, scope).withColumnRenamed("title", "pattern_title")
     return used.join(present, [*scope, "pattern_title", "field"], "left_anti").select(
         *scope, "type", "id", "title", "pattern_title", "field", "context"
     )
@@ -278,8 +286,12 @@ def child_issues(
     reads: DataFrame,
     docs: DataFrame,
     scope: Sequence[str] = (),
+    behind: DataFrame | None = None,
 ) -> DataFrame:
-    """All problems of visualizations and searches: ``type, id, level, check, message``."""
+    """All problems of visualizations and searches: ``type, id, level, check, message``.
+
+    ``behind`` is the result of ``pattern_mappings`` where it is at hand.
+    """
     key = [*scope, "type", "id"]
     name = label(F.col("type"), F.col("title"), F.col("id"))
     broken = (
@@ -292,7 +304,8 @@ def child_issues(
     )
     dangling = broken.select(*key, *_issue(ERROR, "broken-reference", gone))
 
-    behind = pattern_mappings(titled(patterns), names, mapped, scope)
+    if behind is None:
+        behind = pattern_mappings(titled(patterns), names, mapped, scope)
     children = child_patterns(resolved, pattern_status(patterns, behind, scope), scope)
     homeless = children.filter("NOT covered").select(
         *key, *_issue(ERROR, "missing-index", _text(NO_MATCH, name, F.col("pattern_title")))

@@ -231,13 +231,14 @@ def validate_dashboards(
     resolved = store(R.resolved_edges(reference_edges(objects, scope), listed, scope))
     patterns, panels = index_patterns(objects, scope), dashboard_panels(objects, scope)
     mapped, paths = flattened_mappings(mappings, scope)
+    behind = store(R.pattern_mappings(R.titled(patterns), names, mapped, scope))
     found = R.child_issues(
-        resolved, patterns, names, mapped, paths, referenced_fields(objects, scope), search_sources(objects, scope), scope
+        resolved, patterns, names, mapped, paths, referenced_fields(objects, scope), search_sources(objects, scope), scope, behind
     )
     children = store(found)
     report = R.dashboard_report(listed, resolved, panels, children, dashboard_ids, scope)
     issues = R.only_ids(R.dashboard_issues(resolved, panels, children, scope), dashboard_ids)
-    whole = R.global_issues(patterns, names, mapped, paths, scope)
+    whole = store(R.global_issues(patterns, names, mapped, paths, scope, behind))
     return Validation(report, issues, whole, R.validation_summary(report, whole, scope))
 
 

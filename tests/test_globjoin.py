@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from fleetaudit.operators.globjoin import anchored_patterns, covered_patterns, glob_pairs
+from fleetaudit.operators.globjoin import ANCHOR, _anchored_names, anchored_patterns, covered_patterns, glob_pairs
 from tests.test_globs import NAMES, _patterns
 
 
@@ -41,7 +41,7 @@ def test_scope_keeps_clusters_apart(spark):
 
 def test_kinds(spark):
     kinds = {"logs": "exact", "": "exact", "lo*": "prefix", "*x": "suffix", "*": "any", "a*b": "ends", "a?b": "head", "*mid*": "inner", "?b*": "gram",
-             "??*": "shape", "[ab]": "shape", "a[": "exact", "a[*]": "exact", "[?]*": "prefix", "a?bb*": "head"}
+             "??*": "shape", "[ab]": "length", "a[": "exact", "a[*]": "exact", "[?]*": "prefix", "a?bb*": "head"}
     df = spark.createDataFrame([(k,) for k in kinds], "pattern string")
     assert {r.pattern: r.kind for r in anchored_patterns(df, "pattern").collect()} == kinds
 
@@ -51,3 +51,13 @@ def test_no_nested_loop_join(spark):
     for df in (glob_pairs(p, n), covered_patterns(p, n)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_common_head_makes_no_candidates(spark):
+    """Patterns and names that share a head meet only where the tails agree too; of one length only, where lengths agree."""
+    p = spark.range(200).select(F.concat(F.lit("logs-*-x"), F.col("id").cast("string")).alias("pattern")).unionByName(
+        spark.createDataFrame([("?" * k,) for k in range(1, 60)], "pattern string"))
+    n = spark.range(1000).select(F.concat(F.lit("logs-"), F.col("id").cast("string"), F.lit("-x"), (F.col("id") % 200).cast("string")).alias("name"))
+    anchored = anchored_patterns(p, "pattern")
+    met = _anchored_names(n, anchored, ()).join(anchored, list(ANCHOR)).count()
+    assert met == glob_pairs(p, n).count() == 2000
