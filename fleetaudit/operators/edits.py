@@ -104,6 +104,37 @@ def commit(policies: DataFrame, outcome: DataFrame, column: str, scope: Sequence
     return merged.select(*[new[c].alias(c) if c in new else F.col(c) for c in policies.columns])
 
 
+def policy_documents(policies: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Policies as they are to be stored: ``policy_id, seq_no, primary_term, document``.
+
+    The columns of the table are written into the whole text that its ``document`` column
+    holds, so what the table doesn't name stays. A policy without such text gets a new one.
+    """
+    text = F.col("document") if "document" in policies.columns else F.lit(None).cast("string")
+    own = F.coalesce(J.object_from_text(text), J.empty_object())
+
+    def transition(t: Column) -> Column:
+        return F.struct(t["state_name"].alias("state_name"), J.object_variant(t["conditions"]).alias("conditions"))
+
+    def state(s: Column) -> Column:
+        moves = F.transform(s["transitions"], transition).alias("transitions")
+        return F.struct(s["name"].alias("name"), F.transform(s["actions"], J.parsed).alias("actions"), moves)
+
+    parts = {
+        "description": J.text_variant(F.col("description")),
+        "default_state": J.text_variant(F.col("default_state")),
+        "states": F.parse_json(F.to_json(F.transform("states", state))),
+        "ism_template": F.parse_json(F.to_json("ism_template")),
+    }
+    named = F.create_map(*[x for key, part in parts.items() for x in (F.lit(key), part)])
+
+    def put(new: Column) -> Column:
+        return J.to_text(F.map_concat(F.map_filter(own, lambda key, _: ~F.map_contains_key(new, key)), new))
+
+    document = J.let(F.map_filter(named, lambda _, part: part.isNotNull()), put)
+    return policies.select(*scope, "policy_id", "seq_no", "primary_term", document.alias("document"))
+
+
 def _first_index(array: Column, test) -> Column:
     """Position of the first element that passes the test, 0 when none does."""
     return F.coalesce(F.array_position(F.transform(array, lambda x: F.coalesce(test(x), F.lit(False))), True), F.lit(0))

@@ -353,6 +353,71 @@ SELECT s_suppkey, concat(CASE WHEN s_suppkey % 2 = 0 THEN '{"success":true,"resu
        CASE WHEN s_suppkey % 2 = 0 THEN ']}}' ELSE ']}' END) AS value
 FROM supplier"""
 
+# Missing sizes, empty layers, hits without a source, templates without a name.
+SQL["stats_bodies"] = """
+SELECT concat('{"indices":{"idx-', o_orderkey, '":{"total":{"store":{"size_in_bytes":', o_orderkey * 7, '}}},"bare-', o_orderkey, '":{"total":{}}}}') AS value
+FROM orders"""
+SQL["settings_bodies"] = """
+SELECT concat('{"defaults":{"a.', p_partkey, '":"', p_brand, '"},"transient":{},"persistent":{"a.', p_partkey, '":"2","b":"x"}}') AS value FROM part"""
+SQL["stream_bodies"] = """
+SELECT concat('{"data_streams":[{"name":"ds-', c_custkey, '","status":"GREEN","generation":', c_custkey % 9, ',"template":"t","indices":[{"index_name":".ds-', c_custkey,
+       '-1"},{"index_name":".ds-', c_custkey, '-2"}]}]}') AS value
+FROM customer"""
+SQL["pending_bodies"] = """
+SELECT concat('{"tasks":[{"insert_order":', event_id, ',"priority":"HIGH","time_in_queue_millis":', event_id * 3, ',"source":"', event_type, '"}]}') AS value FROM events"""
+SQL["detector_bodies"] = """
+SELECT concat('{"hits":{"hits":[{"_id":"det-', s_suppkey, '","_source":{"name":"', s_name, '"}},{"_id":"bare-', s_suppkey, '"}]}}') AS value FROM supplier"""
+SQL["template_bodies"] = """
+SELECT concat('{"index_templates":[{"name":"tpl-', p_partkey, '","index_template":{"index_patterns":["logs-', p_partkey, '*","b"],"composed_of":["c-', p_partkey,
+       '"],"template":{"settings":{"index":{"plugins":{"index_state_management":{"policy_id":"p-', p_size, '"}}}}}}},{"index_template":{"index_patterns":["x"]}}]}') AS value
+FROM part"""
+SQL["component_bodies"] = """
+SELECT concat('{"component_templates":[{"name":"c-', p_partkey, '","component_template":{"version":', p_size,
+       ',"template":{"settings":{"index.plugins.index_state_management.policy_id":"p-', p_size, '"}}}}]}') AS value
+FROM part"""
+
+# One field alike everywhere, whose indices aren't listed, and one with two types.
+SQL["caps_bodies"] = """
+SELECT concat('ip-', p_partkey) AS id,
+       concat('{"indices":["i-1","i-2","i-3"],"fields":{"one-', p_partkey, '":{"text":{"aggregatable":false,"searchable":true}},"two-', p_partkey,
+       '":{"long":{"aggregatable":true,"searchable":true,"indices":["i-1"]},"keyword":{"aggregatable":true,"searchable":false,"indices":["i-2","i-3"]}}}}') AS value
+FROM part"""
+
+# A scripted field, a name that comes twice, a field that is gone.
+SQL["cached_lists"] = """
+SELECT concat('ip-', p_partkey) AS id,
+       concat('[{"name":"s-', p_partkey, '","type":"number","count":3,"scripted":true,"script":"doc.', p_size, '","lang":"painless"},{"name":"one-', p_partkey,
+       '","type":"old","count":2},{"name":"one-', p_partkey, '","type":"older","count":4},{"name":"gone-', p_partkey, '","count":1}]') AS fields
+FROM part"""
+
+# Policies with keys that no table names.
+SQL["policy_bodies"] = """
+SELECT concat('{"_id":"policy-', c_custkey, '","_seq_no":', c_custkey % 5, ',"_primary_term":1,"policy":{"policy_id":"policy-', c_custkey, '","schema_version":', c_custkey % 20,
+       ',"error_notification":{"channel":"ops"},"default_state":"hot","states":[{"name":"hot","actions":[{"rollover":{"min_size":"', c_custkey % 60,
+       'gb"}}],"transitions":[{"state_name":"warm","conditions":{"min_index_age":"1d"}}]},{"name":"warm","actions":[],"transitions":[]}],"ism_template":[{"index_patterns":["logs-',
+       c_custkey, '*"],"priority":1}]}}') AS value
+FROM customer"""
+
+# Dashboards with damaged panels or a missing visualization; visualizations that read a missing field
+# or hold an unbalanced query; patterns that match nothing. "~" stands for a backslash.
+SQL["validation_documents"] = """
+SELECT concat('dashboard:d-', c_custkey) AS _id,
+       concat('{"type":"dashboard","dashboard":{"title":"D', c_custkey, '","panelsJSON":"', CASE WHEN c_custkey % 5 = 0 THEN '[{' ELSE '[]' END,
+       '"},"references":[{"name":"p","type":"visualization","id":"', CASE WHEN c_custkey % 7 = 0 THEN 'none-' ELSE 'v-' END, c_custkey, '"}]}') AS _source
+FROM customer
+UNION ALL
+SELECT concat('visualization:v-', c_custkey),
+       replace(concat('{"type":"visualization","visualization":{"title":"V', c_custkey, '","visState":{"type":"pie","aggs":[{"id":"1","type":"terms","params":{"field":"',
+       CASE WHEN c_custkey % 3 = 0 THEN 'gone' ELSE 'a' END, '"}}]},"kibanaSavedObjectMeta":{"searchSourceJSON":"{~"query~":{~"query~":~"',
+       CASE WHEN c_custkey % 11 = 0 THEN '(x' ELSE 'x' END, '~",~"language~":~"kuery~"}}"}},"references":[{"name":"i","type":"index-pattern","id":"ip-', c_custkey, '"}]}'), '~', chr(92))
+FROM customer
+UNION ALL
+SELECT concat('index-pattern:ip-', c_custkey),
+       concat('{"type":"index-pattern","index-pattern":{"title":"', CASE WHEN c_custkey % 4 = 0 THEN 'nope-' ELSE 'idx-' END, c_custkey, '"},"references":[]}')
+FROM customer"""
+SQL["mapping_bodies"] = """
+SELECT concat('{"idx-', c_custkey, '":{"mappings":{"properties":{"a":{"type":"keyword"}}}}}') AS value FROM customer"""
+
 # ---------------------------------------------------------------------------
 # Policies with content, for edits
 # ---------------------------------------------------------------------------

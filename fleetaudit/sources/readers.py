@@ -92,8 +92,10 @@ def managed_config(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame
 
 
 def policies(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Policies with their parts as columns and, in ``document``, their whole text."""
+    whole = F.from_json("value", "struct<policy:string>")["policy"]
     return (
-        _parsed(responses, T.POLICY, scope)
+        responses.select(*scope, F.from_json("value", T.POLICY).alias("body"), whole.alias("document"))
         .filter(F.col("body.policy").isNotNull())
         .select(
             *scope,
@@ -104,6 +106,7 @@ def policies(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
             "body.policy.default_state",
             "body.policy.states",
             "body.policy.ism_template",
+            "document",
         )
     )
 
@@ -197,27 +200,42 @@ def index_mappings(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame
     )
 
 
-def field_caps(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Field capabilities, one row per field, type and index.
-
-    A response lists the indices of a type only where types differ; otherwise the field
-    is taken to be of that type in every index of the response.
-    """
+def _field_specs(responses: DataFrame, scope: Sequence[str]) -> DataFrame:
     return (
         _parsed(responses, T.FIELD_CAPS, scope)
         .select(*scope, F.col("body.indices").alias("all_indices"), F.explode("body.fields").alias("field", "by_type"))
         .select(*scope, "all_indices", "field", F.explode("by_type").alias("type", "spec"))
-        .select(
-            *scope,
-            F.explode(F.coalesce("spec.indices", "all_indices")).alias("index_name"),
-            "field",
-            "type",
-            "spec.aggregatable",
-            "spec.searchable",
-        )
     )
 
 
+def field_types(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Field capabilities, one row per field and type of a response, however many indices it is about.
+
+    Enough for the field report and the live field list, unless they are narrowed to some indices.
+    """
+    return _field_specs(responses, scope).select(*scope, "field", "type", "spec.aggregatable", "spec.searchable")
+
+
+def field_type_indices(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """The indices that a response lists by field and type, which it does only where types differ.
+
+    Enough for the conflicts within a response; ``field_caps`` is for conflicts between several.
+    """
+    return _field_specs(responses, scope).select(
+        *scope, F.explode("spec.indices").alias("index_name"), "field", "type", "spec.aggregatable", "spec.searchable"
+    )
+
+
+def field_caps(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Field capabilities, one row per field, type and index, for reports narrowed to some indices.
+
+    Where a response lists no indices, the field is taken to be of that type in all of them,
+    so this has as many rows as fields times indices.
+    """
+    indices = F.explode(F.coalesce("spec.indices", "all_indices")).alias("index_name")
+    return _field_specs(responses, scope).select(*scope, indices, "field", "type", "spec.aggregatable", "spec.searchable")
+
+
 # ---------------------------------------------------------------------------
 # Saved objects
 # ---------------------------------------------------------------------------

@@ -37,5 +37,17 @@ def test_query(spark, connection, name):
     assert compare(df, CHECKS[name], connection) is None
 
 
+@pytest.mark.parametrize("name", ("policy_drift", "pattern_matches", "missing_fields", "broken_references", "template_policy", "validate_documents"))
+def test_joins_without_broadcast(spark, connection, name):
+    thresholds = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for threshold in thresholds:
+        spark.conf.set(threshold, "-1")
+    try:
+        assert compare(entry.queries()[name](spark, SF_DIR), CHECKS[name], connection) is None
+    finally:
+        for threshold in thresholds:
+            spark.conf.unset(threshold)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns[:2] == ["index", "policy"]
