@@ -2,7 +2,7 @@
 
 
 from fleetaudit.operators import references as R
-from fleetaudit.plans.fields import NAMES, behind, mapped, names, paths, patterns, status
+from fleetaudit.plans.fields import NAMES, behind, mapped, names, paths, patterns
 from fleetaudit.plans.registry import query
 
 ALL = ("saved_objects", "object_references", "field_caps", "object_fields", "object_docs", "panels")
@@ -66,22 +66,27 @@ def resolved(inputs):
     return R.resolved_edges(inputs("object_references"), inputs("saved_objects"))
 
 
-def children(inputs):
-    return R.child_patterns(resolved(inputs), status(inputs))
+def shared_resolved(inputs):
+    return inputs.shared("resolved", lambda: resolved(inputs))
+
+
+def shared_behind(inputs):
+    return inputs.shared("behind", lambda: behind(inputs))
 
 
 def child_findings(inputs):
     return R.child_issues(
-        resolved(inputs), patterns(inputs), names(inputs), mapped(inputs), paths(inputs), inputs("object_fields"), inputs("object_docs")
+        shared_resolved(inputs), patterns(inputs), names(inputs), mapped(inputs), paths(inputs), inputs("object_fields"), inputs("object_docs"),
+        behind=shared_behind(inputs),
     )
 
 
 def report(inputs):
-    return R.dashboard_report(inputs("saved_objects"), resolved(inputs), inputs("panels"), child_findings(inputs))
+    return R.dashboard_report(inputs("saved_objects"), shared_resolved(inputs), inputs("panels"), child_findings(inputs))
 
 
 def whole_findings(inputs):
-    return R.global_issues(patterns(inputs), names(inputs), mapped(inputs), paths(inputs))
+    return R.global_issues(patterns(inputs), names(inputs), mapped(inputs), paths(inputs), behind=shared_behind(inputs))
 
 
 @query("broken_references", ("saved_objects", "object_references"), EDGES + "SELECT * FROM br")
@@ -96,7 +101,9 @@ def resolved_pattern(inputs):
 
 @query("missing_fields", ALL[:4], CHILDREN + "SELECT * FROM mf")
 def missing_fields(inputs):
-    return R.missing_fields(children(inputs), inputs("object_fields"), behind(inputs), paths(inputs))
+    return R.missing_fields(
+        R.child_patterns(resolved(inputs), R.pattern_status(patterns(inputs), shared_behind(inputs))), inputs("object_fields"), shared_behind(inputs), paths(inputs)
+    )
 
 
 @query("invalid_search_source", ("object_docs",), SOURCES + "SELECT * FROM ssi")
@@ -123,7 +130,7 @@ def child_issues(inputs):
 
 @query("dashboard_issues", ALL, ISSUES + "SELECT * FROM di")
 def dashboard_issues(inputs):
-    return R.dashboard_issues(resolved(inputs), inputs("panels"), child_findings(inputs))
+    return R.dashboard_issues(shared_resolved(inputs), inputs("panels"), child_findings(inputs))
 
 
 @query("dashboard_validation", ALL, ISSUES + "SELECT * FROM ds ORDER BY title")

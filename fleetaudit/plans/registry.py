@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetaudit.plans.adapters import SQL, adapter, tables_in, with_adapters
+from fleetaudit.sources.layout import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -23,6 +25,7 @@ class Inputs:
         spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # the last of equal keys counts, as other readers have it
         self._views: dict[str, str] = {}
         self._built: dict[str, DataFrame] = {}
+        self._shared: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -36,6 +39,18 @@ class Inputs:
             self._built[name] = adapter(self.spark, name, self._views)
         return self._built[name]
 
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A result that several parts of a query use, worked out once and kept in the checkpoint folder."""
+        self.need_folder()
+        if name not in self._shared:
+            self._shared[name] = kept(build())
+        return self._shared[name]
+
+    def need_folder(self) -> None:
+        """A local session that names no checkpoint folder gets one; a cluster has to name its own."""
+        if not self.spark.conf.get("spark.checkpoint.dir", None) and self.spark.sparkContext.master.startswith("local"):
+            self.spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fleetaudit-"))
+
 
 def query(name: str, uses: tuple[str, ...] = (), check: str | None = None):
     """Registers a query under a name, with its check SQL over the adapters it uses."""

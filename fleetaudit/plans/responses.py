@@ -116,10 +116,10 @@ FROM (SELECT c_custkey AS k, CAST(CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END
   CAST(CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 11 = 0 THEN 1 ELSE 0 END AS BIGINT) AS w FROM customer)""")
 def validate_documents(inputs):
     """The whole check, from raw documents, index names and mapping responses."""
-    objects = readers.saved_objects(documents=inputs("validation_documents").select("_id", "_source"))
+    objects = inputs.shared("objects", lambda: readers.saved_objects(documents=inputs("validation_documents").select("_id", "_source")))
     mappings = readers.index_mappings(inputs("mapping_bodies"))
     names = readers.index_names(mappings.select(F.col("index_name").alias("index")))
-    return O.validate_dashboards(objects, names, mappings).dashboards
+    return O.validate_dashboards(objects, names, mappings, keep=True).dashboards
 
 
 @query("chosen_objects", ("saved_objects",), """
