@@ -11,7 +11,7 @@ hands on a spanning forest of its links, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -257,14 +257,14 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     return prints.join(by_print, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def representatives(docs: DataFrame) -> DataFrame:
-    """``docs``, all columns, with one document of each group: the one with the smallest id.
+def representatives(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = grouped) -> DataFrame:
+    """``docs``, all columns, with one document of each of the ``groups``: the one with the smallest id.
 
     Of repeated rows of that id one stays. Rows without id stay, once per text, only where
     their whole group has none.
     """
     row = docs.select(F.struct("*").alias("row"))
-    stay = grouped(row.select("row.doc_id", "row.text")).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash").distinct()
+    stay = groups(row.select("row.doc_id", "row.text")).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash").distinct()
     rival = stay.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash")).where("doc_id IS NOT NULL").unionByName(stay.where("doc_id IS NULL"))
     rival = rival.select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"))
     keyed = row.select("row", F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"))
