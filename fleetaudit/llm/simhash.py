@@ -242,7 +242,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Per document: ``doc_id``, ``text_hash``, ``fp`` and ``component_id``, the smallest ``doc_id`` it is linked with over any number of links.
+    """Per document: ``doc_id``, ``text_hash``, ``fp``, its component's ``root`` and ``component_id``, the smallest ``doc_id`` it is linked with over any number of links.
 
     Null and empty texts have the fingerprint zero and are linked like others. Rows without
     id belong to a component too; its id is null only if none of its rows has one.
@@ -253,19 +253,19 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     roots = least.join(found, least["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     roots = written(roots, "simhash-roots")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = roots.join(named, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    by_print = roots.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def representatives(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = grouped) -> DataFrame:
     """``docs``, all columns, with one document of each of the ``groups``: the one with the smallest id.
 
-    Of repeated rows of that id one stays. Rows without id stay, once per text, only where
-    their whole group has none.
+    Of rows that repeat this id in a group one stays; an id whose rows are in several groups
+    can stay in each. Of a group without any id one row stays.
     """
     row = docs.select(F.struct("*").alias("row"))
-    stay = groups(row.select("row.doc_id", "row.text")).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash").distinct()
-    rival = stay.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash")).where("doc_id IS NOT NULL").unionByName(stay.where("doc_id IS NULL"))
+    stay = groups(row.select("row.doc_id", "row.text")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rival = stay.groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash"))
     rival = rival.select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"))
     keyed = row.select("row", F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"))
     kept = keyed.join(rival, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")), "left_semi")

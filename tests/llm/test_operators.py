@@ -172,6 +172,17 @@ def test_near_copies_against_all_pairs(spark):
     assert near.grouped(docs.limit(0)).count() == 0
 
 
+def test_every_group_keeps_one_document(spark):
+    first, second, third = (" ".join(f"{k}{i}" for i in range(50)) for k in "xyz")
+    rows = [(1, first), (1, second), (2, first), (3, second), (3, second), (None, third), (None, third + " end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for groups in (simhash.grouped, near.grouped):
+        ids = {(x.root, x.component_id) for x in groups(docs).collect()}
+        kept = simhash.representatives(docs, groups).collect()
+        assert len(kept) == len(ids) and {(1, first), (1, second)} <= set(map(tuple, kept))
+    assert len(kept) == 3
+
+
 def test_chat_round_trip(spark):
     r = random.Random(6)
     parts = ["<", "<|", "|turn|>", "<|turn|>", "<|text|>", "<|end|>", "\\", "</s>", "<s>", "[INST]", "[", "/INST]", "<<SYS>>", "\n", "word ", "é", "<\\|end|>"]
