@@ -115,10 +115,11 @@ def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float =
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``stats`` and ``label`` of at most ``sample`` documents. Rows without id or with a label other than 0 and 1 are not used; of several labels, the largest."""
+    """``stats`` and ``label`` of at most ``sample`` documents. Rows without id or with a label other than 0 and 1 are not used; of several labels, the largest; of rows that repeat an id, the one whose text has the smallest hash."""
     picked = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "label", statistics(text_or_empty()).alias("stats"))
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "label", F.xxhash64("text").alias("text_hash"), statistics(text_or_empty()).alias("stats"))
+    found = found.groupBy("doc_id", "label").agg(F.min_by("stats", "text_hash").alias("stats"))
     return written(found, "labelled").orderBy("doc_id").coalesce(1)
 
 

@@ -161,12 +161,16 @@ def fit(texts: list[tuple[str, int]], share: float) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE, ordinary_sample: int = ORDINARY_SAMPLE, longest: int = LONGEST) -> Model:
-    """The model for ``docs`` from ``labels`` (``doc_id``, ``label``); the samples' bounds hold whatever the corpus."""
+    """The model for ``docs`` from ``labels`` (``doc_id``, ``label``); the samples' bounds hold whatever the corpus.
+
+    Of rows that repeat an id, the one whose text has the smallest hash is used.
+    """
     one = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
     order = (F.xxhash64("doc_id"), "doc_id")
     picked = one.where("label = 1").orderBy(*order).limit(toxic_sample).unionByName(one.where("label = 0").orderBy(*order).limit(ordinary_sample))
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(picked), "doc_id").where(F.octet_length("text") <= longest)
+    rows = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     found = sorted((r["doc_id"], r["text"], r["label"]) for r in rows.collect())
     return fit([(text, label) for _, text, label in found], (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1))
 

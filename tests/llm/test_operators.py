@@ -183,6 +183,16 @@ def test_every_group_keeps_one_document(spark):
     assert len(kept) == 3
 
 
+def test_repeated_ids_train_once(spark, monkeypatch):
+    rows = [(i, f"text {i} {k}") for i in range(8) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id bigint, label int")
+    assert sorted(x.label for x in rule_ensemble.labelled(docs, labels).collect()) == [0] * 4 + [1] * 4
+    monkeypatch.setattr(toxicity, "fit", lambda texts, share: texts)
+    texts = toxicity.train(docs, labels)
+    assert len(texts) == 8 and texts == toxicity.train(docs.repartition(2), labels)
+
+
 def test_chat_round_trip(spark):
     r = random.Random(6)
     parts = ["<", "<|", "|turn|>", "<|turn|>", "<|text|>", "<|end|>", "\\", "</s>", "<s>", "[INST]", "[", "/INST]", "<<SYS>>", "\n", "word ", "é", "<\\|end|>"]
