@@ -30,6 +30,8 @@ from fleetaudit.llm.common import id_crc, text_or_empty
 #: At most so many toxic and so many ordinary documents train the model, in order of a hash of their id, and none over so many bytes.
 TOXIC_SAMPLE, ORDINARY_SAMPLE, LONGEST = 2_500, 5_000, 30_000
 WINDOW, ORDINARY_BYTES, TOXIC_WORDS = 4, 2048, 1500
+#: From so many windows on, every n-th one trains the ordinary dictionary: so many to twice as many.
+WINDOWS = 60_000
 #: Beginnings of words that may mark toxic text, the share of toxic documents that have one, and its log odds.
 BEGINNINGS, SHARE, LOG_ODDS = (4, 5, 6, 8), 0.02, 3.0
 CARRIER = bytes((i * i * 37 + i * 11) % 256 for i in range(64))
@@ -112,7 +114,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     marks = {g for g in marks if len(contexts[g]) >= least}
     words = Counter(w.strip(b".,;:!?") for text in toxic for w in words_of(text) if not marks.isdisjoint(_beginnings(w)))
     windows = [w for text in ordinary for w in windows_of(words_of(text))]
-    step = max(1, len(windows) // 60_000)
+    step = max(1, len(windows) // WINDOWS)
     try:
         base = zstandard.train_dictionary(ORDINARY_BYTES, windows[::step]).as_bytes()
     except zstandard.ZstdError:  # too few windows to train on: some of them serve as they are
@@ -150,7 +152,7 @@ def fit(texts: list[tuple[str, int]], share: float) -> Model:
     contents = dictionaries(learn(toxic), learn(ordinary))
     draft = Model(*contents, 0, 0.0, ())
     a, b = (compressor(c) for c in contents)
-    plain = [len(a(w)) - len(b(w)) for text in learn(ordinary)[:600] for w in (CARRIER + w for w in windows_of(words_of(text)))]
+    plain = [len(a(w)) - len(b(w)) for text in ordinary[::3] for w in (CARRIER + w for w in windows_of(words_of(text)))]
     threshold = int(np.quantile(plain, 0.999)) + 1
     figures = Model(*contents, threshold, 0.0, ()).figures()
     held = toxic[::3] + ordinary[::3]

@@ -183,6 +183,18 @@ def test_every_group_keeps_one_document(spark):
     assert len(kept) == 3
 
 
+def test_toxic_threshold_is_of_all_unseen_texts():
+    r = random.Random(8)
+    plain = lambda n: " ".join(f"plain{r.randrange(300)}" for _ in range(n))
+    marked = lambda: plain(6) + " " + " ".join(r.choice(["venomous", "loathsome", "despicable"]) for _ in range(6))
+    ordinary = [marked() if i > 1000 and i % 60 == 0 else plain(12) for i in range(1500)]
+    texts = [(marked(), 1) for _ in range(60)] + [(t, 0) for t in ordinary]
+    model = toxicity.fit(texts, 0.04)
+    a, b = (toxicity.compressor(c) for c in (model.ordinary, model.toxic))
+    gains = sorted(len(a(w)) - len(b(w)) for t in ordinary[::3] for w in (toxicity.CARRIER + w for w in toxicity.windows_of(toxicity.words_of(t))))
+    assert gains[-1] > 0 and gains[int(0.999 * (len(gains) - 1))] < model.threshold <= gains[int(0.999 * (len(gains) - 1)) + 1] + 1
+
+
 def test_repeated_ids_train_once(spark, monkeypatch):
     rows = [(i, f"text {i} {k}") for i in range(8) for k in range(30)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
