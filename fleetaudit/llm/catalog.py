@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetaudit.llm import bpe, chat, licenses, line_dedup, mixing, quality_rules, rule_ensemble, search, simhash, toxicity
+from fleetaudit.llm import bpe, chat, licenses, line_dedup, mixing, periodic, quality_rules, repair, rule_ensemble, search, sharding, simhash, toxicity
 from fleetaudit.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": over("documents", rule_ensemble.report, "labels"),
     "op9_simhash": over("documents", simhash.report),
     "op10_search": over("embeddings", search.report),
+    "op11_periodic": over("documents", periodic.report),
+    "op12_sharding": over("documents", sharding.report),
+    "op13_repair": over("conversations", repair.report),
 }
 
 CHECKS: dict[str, str] = {
@@ -42,4 +45,6 @@ CHECKS: dict[str, str] = {
     "op6_line_dedup": line_dedup.DIGEST_SQL,
     "op7_mixing": mixing.REPORT_SQL,
     "op10_search": search.REPORT_SQL,
+    "op11_periodic": periodic.REPORT_SQL,
+    "op13_repair": repair.REPORT_SQL,
 }

@@ -11,7 +11,7 @@ hands on a spanning forest of its links, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -216,7 +216,7 @@ def links(prints: DataFrame, radius: int = RADIUS, parts: int = PARTS, chunk: in
     return dealt.mapInArrow(lambda batches: compared(batches, radius), "a bigint, b bigint").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node that it is connected with, for every node of ``edges`` (``a``, ``b``).
 
     Two steps in turn until nothing changes: every node's larger neighbours are tied to the
@@ -225,7 +225,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """
     ties = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "ties")
     before = None
-    for _ in range(rounds):
+    while True:
         both = ties.unionByName(ties.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -236,8 +236,6 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         if seen == before:
             break
         before = seen
-    else:
-        raise RuntimeError("components have not settled")
     return ties.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(ties.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
@@ -257,14 +255,14 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     return prints.join(by_print, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def representatives(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = grouped) -> DataFrame:
-    """``docs``, all columns, with one document of each of the ``groups``: the one with the smallest id.
+def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs``, all columns, with one document of each group of near copies: the one with the smallest id.
 
     Of rows that repeat this id in a group one stays; an id whose rows are in several groups
     can stay in each. Of a group without any id one row stays.
     """
     row = docs.select(F.struct("*").alias("row"))
-    stay = groups(row.select("row.doc_id", "row.text")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = grouped(row.select("row.doc_id", "row.text"), shingle, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rival = stay.groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash"))
     rival = rival.select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"))
     keyed = row.select("row", F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"))

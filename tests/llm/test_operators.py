@@ -13,7 +13,7 @@ from public_tokenizers import PATTERN
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fleetaudit.llm import bpe, chat, licenses, line_dedup, mixing, near, quality_rules, rule_ensemble, search, simhash, toxicity
+from fleetaudit.llm import bpe, chat, licenses, line_dedup, mixing, quality_rules, rule_ensemble, search, simhash, toxicity
 from fleetaudit.llm.catalog import CHECKS, QUERIES, RANKS
 from tools.check_queries import compare
 
@@ -135,52 +135,19 @@ def test_near_fingerprints_in_large_buckets(spark):
     assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want if len(g) > 1)
 
 
-def shingle_sets(texts):
-    words = [t.lower().split() for t in texts]
-    return [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
-
-
-def test_near_copies_against_all_pairs(spark):
-    r = random.Random(6)
-    word = lambda: f"w{r.randrange(5000)}"
-    texts = [None, "", "one two", "One  two"]
-    passage = [word() for _ in range(30)]
-    for size, copies, most in ((60, 25, 2), (120, 40, 4), (300, 12, 9), (9, 12, 1)):
-        base = [word() for _ in range(size)]
-        for _ in range(copies):
-            one = list(base)
-            for at in r.sample(range(size), r.randint(0, most)):
-                one[at] = word()
-            texts.append(" ".join(one))
-    texts += [" ".join(passage + [word() for _ in range(r.randint(5, 60))]) for _ in range(40)]
-    sets, parent = shingle_sets([t or "" for t in texts]), list(range(len(texts)))
-
-    def root(x):
-        return x if parent[x] == x else root(parent[x])
-
-    similarity = {(i, j): len(a & b) / len(a | b) for i, a in enumerate(sets) for j, b in enumerate(sets[:i])}
-    assert sum(0.8 <= s < 0.85 for s in similarity.values()) > 20 and sum(0.7 < s < 0.8 for s in similarity.values()) > 20
-    for (i, j), s in similarity.items():
-        if s >= 0.8:
-            a, b = root(i), root(j)
-            parent[max(a, b)] = min(a, b)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
-    for chunk in (near.CHUNK, 5):
-        assert {x.doc_id: x.component_id for x in near.grouped(docs, chunk=chunk).collect()} == {i: root(i) for i in range(len(texts))}
-    kept = corpus_pipeline.without_near_copies(spark, docs, "")
-    assert sorted(x.doc_id for x in kept.collect()) == sorted({root(i) for i in range(len(texts))})
-    assert near.grouped(docs.limit(0)).count() == 0
-
-
 def test_every_group_keeps_one_document(spark):
     first, second, third = (" ".join(f"{k}{i}" for i in range(50)) for k in "xyz")
     rows = [(1, first), (1, second), (2, first), (3, second), (3, second), (None, third), (None, third + " end")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for groups in (simhash.grouped, near.grouped):
-        ids = {(x.root, x.component_id) for x in groups(docs).collect()}
-        kept = simhash.representatives(docs, groups).collect()
-        assert len(kept) == len(ids) and {(1, first), (1, second)} <= set(map(tuple, kept))
-    assert len(kept) == 3
+    ids = {(x.root, x.component_id) for x in simhash.grouped(docs).collect()}
+    kept = simhash.representatives(docs).collect()
+    assert len(kept) == len(ids) and {(1, first), (1, second)} <= set(map(tuple, kept))
+
+
+def test_a_long_chain_is_one_component(spark):
+    chain = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("a"), ((F.col("id") + 1) * 7919 % 3001).alias("b"))
+    found = simhash.components(chain).collect()
+    assert len(found) == 3001 and {x.root for x in found} == {0}
 
 
 def test_toxic_threshold_is_of_all_unseen_texts():
