@@ -7,7 +7,7 @@ is the next stage's ``docs``. All but the last return the columns they are given
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetaudit.llm import bpe, line_dedup, mixing, near, rule_ensemble, simhash
+from fleetaudit.llm import bpe, line_dedup, mixing, rule_ensemble, simhash
 from fleetaudit.llm.catalog import RANKS
 from fleetaudit.llm.common import table, written
 
@@ -27,8 +27,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: at least 0.8 of two documents' five-word shingles shared, over any number of links."""
-    return simhash.representatives(docs, near.grouped)
+    """One document of each group whose SimHash fingerprints are linked: four-word shingles, at most four differing bits, over any number of links."""
+    return simhash.representatives(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
