@@ -7,7 +7,7 @@ for any other.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -109,10 +109,34 @@ def object_variant(obj: Column) -> Column:
     return F.call_function("to_variant_object", obj)
 
 
+def list_variant(items: Column) -> Column:
+    return F.call_function("to_variant_object", items)
+
+
 def text_variant(text: Column) -> Column:
     return text.cast("variant")
 
 
+def changed_at(value: Column, path: Sequence[str | Column], change: Callable[[Column], Column]) -> Column:
+    """A VARIANT with the part at a path changed and all else as it is.
+
+    A step is a key or, as a column, a position from 0. ``change`` gets the part, NULL where
+    there is none; what it gives is put there, and NULL takes a key out. Objects on the way that
+    are missing come into being; a position that a list doesn't have changes nothing.
+    """
+    if not path:
+        return change(value)
+    step, rest = path[0], path[1:]
+    if isinstance(step, str):
+
+        def put(obj: Column) -> Column:
+            return let(changed_at(obj[step], rest, change), lambda new: F.when(new.isNull(), without_key(obj, step)).otherwise(with_key(obj, step, new)))
+
+        return object_variant(let(F.coalesce(as_object(value), empty_object()), put))
+    items = F.coalesce(as_list(value), F.array().cast(LIST))
+    return list_variant(F.transform(items, lambda item, i: F.when(i == step, changed_at(item, rest, change)).otherwise(item)))
+
+
 # ---------------------------------------------------------------------------
 # Conditions of a lifecycle policy
 # ---------------------------------------------------------------------------

@@ -5,13 +5,17 @@ An edit table is joined to the policy table. Every edit yields one row with ``be
 the edited column; ``commit`` writes the changed ones back. An edit may carry
 ``expected_seq_no`` and ``expected_primary_term``, the version its author read: if either
 differs from the policy's by now, the edit is a conflict and changes nothing. Of several edits that would change one policy only
-the first by ``edit_no`` does (without that column, by place in the table); they all were
-made for the same version, so the others are conflicts too.
+the first by ``edit_no`` does; they all were made for the same version, so the others are
+conflicts too. Where numbers tie or that column is missing, the contents of the edits
+decide, so the outcome doesn't depend on how the table is laid out.
+
+Where the policy table has the whole text of a policy in ``document``, an edit patches that text
+at the paths it changes; keys that no column names stay, at any depth.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,8 +48,8 @@ def first_edit_per_policy(edits: DataFrame, order: str | None = None, scope: Seq
 
 
 def _place(edits: DataFrame, order: str | None) -> Column:
-    """What decides between rivals: the order column, then the place in the table."""
-    return F.struct((F.col(order) if order else F.lit(None)).alias("order"), F.monotonically_increasing_id().alias("place"))
+    """What decides between rivals: the order column, then the contents."""
+    return F.struct((F.col(order) if order else F.lit(None)).alias("order"), F.to_json(F.struct(*edits.columns)).alias("contents"))
 
 
 def _rank(keys: Sequence[str]) -> Column:
@@ -63,12 +67,16 @@ def _edited(edits: DataFrame, policies: DataFrame, scope: Sequence[str]) -> Data
 
 
 def _outcome(
-    df: DataFrame, column: str, error: Column, before: Column, after: Column, key: Column, new_key: Column, scope: Sequence[str]
+    df: DataFrame, column: str, error: Column, before: Column, after: Column, key: Column, new_key: Column, scope: Sequence[str],
+    patch: Callable[[Column], Column],
 ) -> DataFrame:
     """Adds the outcome columns. ``key`` and ``new_key`` are comparable forms of before and after.
 
     ``after`` is expected in the column ``new``, which is dropped in favour of ``column``.
+    ``patch`` makes the same change in a policy's whole document, a VARIANT.
     """
+    documents = "document" in df.columns
+    patched = F.coalesce(F.to_json(J.let(J.parsed(F.col("document")), patch)), F.col("document")) if documents else None
     problem = (
         F.when(F.col("found").isNull(), F.format_string(NO_POLICY, "policy_id"))
         .when(F.col("moved_on"), CONFLICT)
@@ -90,28 +98,29 @@ def _outcome(
             "changed",
             "error",
             F.when(F.col("changed"), F.col("new")).otherwise(F.col(column)).alias(column),
+            *([F.when(F.col("changed"), patched).otherwise(F.col("document")).alias("document")] if documents else []),
         )
     )
 
 
 def commit(policies: DataFrame, outcome: DataFrame, column: str, scope: Sequence[str] = ()) -> DataFrame:
-    """The policy table with all changed rows of an outcome written in, versions moved on."""
+    """The policy table with all changed rows of an outcome written in, whole documents too, versions moved on."""
     keys = [*scope, "policy_id"]
-    changed = outcome.filter("changed").select(*keys, F.col("new_seq_no"), F.col(column).alias("new_value"))
+    written = [c for c in (column, "document") if c in policies.columns and c in outcome.columns]
+    changed = outcome.filter("changed").select(*keys, F.col("new_seq_no"), *[F.col(c).alias(f"new_{c}") for c in written])
     merged = policies.join(changed, keys, "left")
     hit = F.col("new_seq_no").isNotNull()
-    new = {"seq_no": F.coalesce("new_seq_no", "seq_no"), column: F.when(hit, F.col("new_value")).otherwise(F.col(column))}
+    new = {"seq_no": F.coalesce("new_seq_no", "seq_no")} | {c: F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)) for c in written}
     return merged.select(*[new[c].alias(c) if c in new else F.col(c) for c in policies.columns])
 
 
 def policy_documents(policies: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Policies as they are to be stored: ``policy_id, seq_no, primary_term, document``.
 
-    The columns of the table are written into the whole text that its ``document`` column
-    holds, so what the table doesn't name stays. A policy without such text gets a new one.
+    A policy that was read with its whole text in ``document`` is stored as that text, which every
+    edit has kept up to date; one that no edit touched goes back as it came. A policy without
+    such text, a new one, is built from its columns.
     """
-    text = F.col("document") if "document" in policies.columns else F.lit(None).cast("string")
-    own = F.coalesce(J.object_from_text(text), J.empty_object())
 
     def transition(t: Column) -> Column:
         return F.struct(t["state_name"].alias("state_name"), J.object_variant(t["conditions"]).alias("conditions"))
@@ -120,18 +129,8 @@ def policy_documents(policies: DataFrame, scope: Sequence[str] = ()) -> DataFram
         moves = F.transform(s["transitions"], transition).alias("transitions")
         return F.struct(s["name"].alias("name"), F.transform(s["actions"], J.parsed).alias("actions"), moves)
 
-    parts = {
-        "description": J.text_variant(F.col("description")),
-        "default_state": J.text_variant(F.col("default_state")),
-        "states": F.parse_json(F.to_json(F.transform("states", state))),
-        "ism_template": F.parse_json(F.to_json("ism_template")),
-    }
-    named = F.create_map(*[x for key, part in parts.items() for x in (F.lit(key), part)])
-
-    def put(new: Column) -> Column:
-        return J.to_text(F.map_concat(F.map_filter(own, lambda key, _: ~F.map_contains_key(new, key)), new))
-
-    document = J.let(F.map_filter(named, lambda _, part: part.isNotNull()), put)
+    built = F.to_json(F.struct("description", "default_state", F.transform("states", state).alias("states"), "ism_template"))
+    document = F.coalesce("document", built) if "document" in policies.columns else built
     return policies.select(*scope, "policy_id", "seq_no", "primary_term", document.alias("document"))
 
 
@@ -154,8 +153,7 @@ def create_policies(requests: DataFrame, policies: DataFrame, order: str | None
     """Policies with one state and no actions, from ``policy_id, description, state, patterns, priority``.
 
     Returns the new policies and the rejected requests: those whose policy exists, and,
-    of several requests for one new policy, all but the first by ``order``, or by place in
-    the table.
+    of several requests for one new policy, all but the first by ``order`` and contents.
     """
     keys = [*scope, "policy_id"]
     taken = requests.join(policies.select(*keys), keys, "left_semi")
@@ -215,7 +213,9 @@ def set_rollover(edits: DataFrame, policies: DataFrame, scope: Sequence[str] = (
     )
     before = F.when(F.col("a") > 0, J.to_text(F.col("old")))
     after = J.to_text(F.col("merged"))
-    return _outcome(df.withColumn("new", new), "states", error, before, after, before, after, scope)
+    path = ("states", F.col("s") - 1, "actions", F.col("a") - 1, "rollover")
+    patch = lambda document: J.changed_at(document, path, lambda _: J.object_variant(F.col("merged")))
+    return _outcome(df.withColumn("new", new), "states", error, before, after, before, after, scope, patch)
 
 
 def _transition_text(transitions: Column) -> Column:
@@ -263,7 +263,20 @@ def set_transition(edits: DataFrame, policies: DataFrame, scope: Sequence[str] =
         (F.col("t") == 0) & (F.size("merged") == 0), NOTHING_TO_REMOVE
     )
     before, after = F.when(F.col("s") > 0, _transition_text(F.col("old"))), _transition_text(F.col("edited"))
-    return _outcome(df.withColumn("new", new), "states", error, before, after, before, after, scope)
+    conditions = J.object_variant(F.col("merged"))
+
+    def transitions(found: Column) -> Column:
+        items = F.coalesce(J.as_list(found), F.array().cast(J.LIST))
+        one = F.array(J.object_variant(F.create_map(F.lit("state_name"), J.text_variant(F.col("to_state")), F.lit("conditions"), conditions)))
+        return J.list_variant(
+            F.when((F.col("t") > 0) & (F.size("merged") == 0), F.filter(items, lambda _, i: i + 1 != F.col("t")))
+            .when(F.col("t") > 0, _replaced(items, F.col("t"), lambda t: J.changed_at(t, ["conditions"], lambda _: conditions)))
+            .when(F.coalesce("position", F.lit("first")) == "first", F.concat(one, items))
+            .otherwise(F.concat(items, one))
+        )
+
+    patch = lambda document: J.changed_at(document, ("states", F.col("s") - 1, "transitions"), transitions)
+    return _outcome(df.withColumn("new", new), "states", error, before, after, before, after, scope, patch)
 
 
 # ---------------------------------------------------------------------------
@@ -287,6 +300,9 @@ def edit_ism_template(edits: DataFrame, policies: DataFrame, now_ms: int | Colum
     has = lambda c: F.coalesce(F.size(c) > 0, F.lit(False))
 
     df = _edited(edits, policies, scope).withColumn("old", F.coalesce("ism_template", no_entries))
+    # Entries know where they stood, so that the document's own entries can be found again.
+    placed = F.transform("old", lambda e, i: e.withField("origin", i))
+    plain = lambda e: e.dropFields("origin")
 
     def patterns(entry: Column) -> Column:
         return F.coalesce(entry["index_patterns"], none)
@@ -298,8 +314,8 @@ def edit_ism_template(edits: DataFrame, policies: DataFrame, now_ms: int | Colum
             lambda acc, r: F.array_distinct(F.transform(acc, lambda p: F.when(p == r["old"], r["new"]).otherwise(p))),
         )
 
-    replaced = F.transform("old", lambda e: e.withField("index_patterns", renamed(e)))
-    df = df.withColumn("replaced", F.when(has("replace"), replaced).otherwise(F.col("old")))
+    replaced = F.transform(placed, lambda e: e.withField("index_patterns", renamed(e)))
+    df = df.withColumn("replaced", F.when(has("replace"), replaced).otherwise(placed))
 
     trimmed = F.transform(
         "replaced",
@@ -315,7 +331,8 @@ def edit_ism_template(edits: DataFrame, policies: DataFrame, now_ms: int | Colum
 
     blank = F.array(
         F.struct(
-            none.alias("index_patterns"), F.lit(DEFAULT_PRIORITY).alias("priority"), F.lit(None).cast("bigint").alias("last_updated_time")
+            none.alias("index_patterns"), F.lit(DEFAULT_PRIORITY).alias("priority"), F.lit(None).cast("bigint").alias("last_updated_time"),
+            F.lit(-1).alias("origin"),
         )
     )
     starts_empty = has("add") & (F.size("left") == 0)
@@ -334,11 +351,28 @@ def edit_ism_template(edits: DataFrame, policies: DataFrame, now_ms: int | Colum
     )
     stamped = F.transform(
         "edited",
-        lambda e, i: F.when(e.eqNullSafe(F.get(F.col("old"), i)), e).otherwise(e.withField("last_updated_time", now)),
+        lambda e, i: F.when(plain(e).eqNullSafe(F.get(F.col("old"), i)), e).otherwise(e.withField("last_updated_time", now)),
     )
-    df = df.withColumn("new", stamped)
+    df = df.withColumn("stamped", stamped).withColumn("new", F.transform("stamped", plain))
     before, after = F.to_json("old"), F.to_json("new")
-    return _outcome(df, "ism_template", error, before, after, F.col("old"), F.col("new"), scope)
+
+    def entries(found: Column) -> Column:
+        own = F.coalesce(J.as_list(found), F.array().cast(J.LIST))
+
+        def entry(e: Column) -> Column:
+            before = F.when(e["origin"] >= 0, F.get(own, e["origin"]))
+            same = F.coalesce(plain(e).eqNullSafe(F.when(e["origin"] >= 0, F.get(F.col("old"), e["origin"]))) & before.isNotNull(), F.lit(False))
+            parts = F.create_map(
+                F.lit("index_patterns"), J.list_variant(patterns(e)), F.lit("priority"), e["priority"].cast("variant"),
+                F.lit("last_updated_time"), e["last_updated_time"].cast("variant"))
+            named = F.map_filter(parts, lambda _, v: v.isNotNull())
+            kept = F.map_filter(F.coalesce(J.as_object(before), J.empty_object()), lambda key, _: ~F.map_contains_key(named, key))
+            return F.when(same, before).otherwise(J.object_variant(F.map_concat(kept, named)))
+
+        return J.list_variant(F.transform("stamped", entry))
+
+    patch = lambda document: J.changed_at(document, ["ism_template"], entries)
+    return _outcome(df, "ism_template", error, before, after, F.col("old"), F.col("new"), scope, patch)
 
 
 # ---------------------------------------------------------------------------
@@ -349,16 +383,22 @@ def edit_ism_template(edits: DataFrame, policies: DataFrame, now_ms: int | Colum
 def set_template_policy(edits: DataFrame, templates: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Edits ``name, policy_id`` of template settings; the policy ``none`` takes it out.
 
-    Gives ``name, before, after, settings, error``; the rest of a template is untouched.
+    Gives ``name, before, after, settings, error`` and, where the templates have their whole text in
+    ``body``, that text patched at its settings and nowhere else, to be stored.
     """
     after = F.when(F.lower("policy_id") != "none", F.col("policy_id"))
-    joined = edits.join(templates.select(*scope, "name", "settings", F.lit(True).alias("found")), [*scope, "name"], "left")
+    body = [c for c in ("body",) if c in templates.columns]
+    joined = edits.join(templates.select(*scope, "name", "settings", *body, F.lit(True).alias("found")), [*scope, "name"], "left")
     found = F.col("found").isNotNull()
+
+    def patched(document: Column) -> Column:
+        return J.changed_at(document, ("template", "settings"), lambda own: J.parsed(J.with_settings_policy(F.to_json(own), F.col("policy_id"))))
     return joined.select(
         *scope,
         "name",
         J.settings_policy(F.col("settings")).alias("before"),
         F.when(found, after).alias("after"),
         F.when(found, J.with_settings_policy(F.col("settings"), F.col("policy_id"))).alias("settings"),
+        *[F.when(found, F.to_json(J.let(J.parsed(F.col(c)), patched))).alias(c) for c in body],
         F.when(~found, F.format_string("template '%s' not found", "name")).alias("error"),
     )

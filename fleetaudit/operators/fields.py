@@ -196,16 +196,17 @@ def refresh_field_list(caps: DataFrame, cached: DataFrame, scope: Sequence[str]
 
     ``scope`` holds the pattern id when several lists are refreshed at once. ``cached`` has
     ``name, type, count, scripted``, perhaps ``position`` (of several rows of a name the last
-    counts) and ``entry``, the whole entry as JSON. Cached metadata and scripted fields are
+    counts, by position and then contents) and ``entry``, the whole entry as JSON. Cached metadata and scripted fields are
     kept as they are, ``entry`` included, and hide a live field of the same name; ``count``
     carries over.
     """
     live = live_field_list(caps, scope)
     keys, keep_entry = [*scope, "name"], "entry" in cached.columns
-    place = F.col("position") if "position" in cached.columns else F.monotonically_increasing_id()
     entry = F.col("entry") if "entry" in cached.columns else F.lit(None).cast("string")
-    last = F.max_by(F.struct("type", "count", "scripted", entry.alias("entry")), "place")
-    cached = cached.withColumn("place", place).groupBy(*keys).agg(last.alias("row")).select(*keys, "row.*")
+    row = F.struct("type", "count", "scripted", entry.alias("entry"))
+    position = F.col("position") if "position" in cached.columns else F.lit(None).cast("int")
+    last = F.max_by(row, "place")
+    cached = cached.withColumn("place", F.struct(position.alias("position"), row.alias("row"))).groupBy(*keys).agg(last.alias("row")).select(*keys, "row.*")
     old = cached.select(
         *keys,
         F.col("entry").alias("cached_entry"),
@@ -254,16 +255,30 @@ def cached_entries(patterns: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def refreshed_lists(refresh: DataFrame, scope: Sequence[str]) -> DataFrame:
-    """A refresh as JSON text per pattern, ``fields``: preserved entries whole, the others built anew, by name."""
+    """A refresh as JSON text per pattern, ``fields``: preserved entries whole, the others built anew, by name.
+
+    A pattern that loses all its fields gets an empty list.
+    """
     parent = F.when(F.col("multi_parent").isNotNull(), F.struct(F.struct(F.col("multi_parent").alias("parent")).alias("multi")))
     built = F.to_json(F.struct(
         "name", "type", F.col("es_types").alias("esTypes"), "count", "scripted", "searchable", "aggregatable",
         F.col("read_from_doc_values").alias("readFromDocValues"), parent.alias("subType")))
-    texts = refreshed_entries(refresh).select(*scope, "name", F.coalesce("entry", built).alias("text"))
-    rows = texts.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct("name", "text"))).alias("rows"))
+    kept = F.when(F.col("change") != "removed", F.struct("name", F.coalesce("entry", built).alias("text")))
+    rows = refresh.groupBy(*scope).agg(F.array_sort(F.collect_list(kept)).alias("rows"))
     return rows.select(*scope, F.concat(F.lit("["), F.array_join("rows.text", ","), F.lit("]")).alias("fields"))
 
 
+def refreshed_patterns(patterns: DataFrame, lists: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """``patterns`` with their new lists (``scope`` and ``fields``) put into ``attributes``, to be stored.
+
+    Only the cached list in the attributes changes; patterns without a new list stay as they are.
+    """
+    found = patterns.join(lists.select(*scope, F.col("fields").alias("new_fields")), [*scope], "left")
+    patched = J.let(J.parsed(F.col("attributes")), lambda doc: J.changed_at(doc, ["fields"], lambda _: J.text_variant(F.col("new_fields"))))
+    attributes = F.when(F.col("new_fields").isNotNull(), F.to_json(patched)).otherwise(F.col("attributes"))
+    return found.select(*[attributes.alias(c) if c == "attributes" else F.col(c) for c in patterns.columns])
+
+
 def refresh_summary(refresh: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     return refresh.groupBy(*scope).agg(
         F.count_if("in_cache").alias("old_field_count"),

@@ -258,13 +258,13 @@ SELECT concat('req-', o_custkey) AS request_id, concat('idx-', o_orderkey) AS in
        CASE WHEN o_orderkey % 16 = 0 THEN 'policy is locked' END AS reason
 FROM orders"""
 
-# A stored object version per part, and incoming ones of which the last per key counts.
+# A stored object version per part, and incoming ones of which the last per key counts; some have no number, or only such have the key.
 SQL["stored_objects"] = """
 SELECT 'search' AS type, concat('o-', p_partkey) AS id, p_name AS title FROM part"""
 SQL["incoming_objects"] = """
 SELECT CASE WHEN l_suppkey % 3 = 0 THEN 'visualization' ELSE 'search' END AS type, concat('o-', l_partkey * 2) AS id,
        concat('v', l_orderkey, '-', l_linenumber, '-', l_suppkey) AS title,
-       CAST(l_orderkey AS BIGINT) * 100000000 + CAST(l_linenumber AS BIGINT) * 10000000 + l_suppkey AS ordinal
+       CASE WHEN l_partkey % 5 <> 0 AND l_suppkey % 11 <> 0 THEN CAST(l_orderkey AS BIGINT) * 100000000 + CAST(l_linenumber AS BIGINT) * 10000000 + l_suppkey END AS ordinal
 FROM lineitem"""
 
 # ---------------------------------------------------------------------------
@@ -369,11 +369,11 @@ SQL["detector_bodies"] = """
 SELECT concat('{"hits":{"hits":[{"_id":"det-', s_suppkey, '","_source":{"name":"', s_name, '"}},{"_id":"bare-', s_suppkey, '"}]}}') AS value FROM supplier"""
 SQL["template_bodies"] = """
 SELECT concat('{"index_templates":[{"name":"tpl-', p_partkey, '","index_template":{"index_patterns":["logs-', p_partkey, '*","b"],"composed_of":["c-', p_partkey,
-       '"],"template":{"settings":{"index":{"plugins":{"index_state_management":{"policy_id":"p-', p_size, '"}}}}}}},{"index_template":{"index_patterns":["x"]}}]}') AS value
+       '"],"template":{"settings":{"index":{"plugins":{"index_state_management":{"policy_id":"p-', p_size, '"}}}},"mappings":{"dynamic":false}},"priority":', p_size, ',"_meta":{"owner":"o-', p_partkey % 9, '"}}},{"index_template":{"index_patterns":["x"]}}]}') AS value
 FROM part"""
 SQL["component_bodies"] = """
 SELECT concat('{"component_templates":[{"name":"c-', p_partkey, '","component_template":{"version":', p_size,
-       ',"template":{"settings":{"index.plugins.index_state_management.policy_id":"p-', p_size, '"}}}}]}') AS value
+       ',"template":{"settings":{"index.plugins.index_state_management.policy_id":"p-', p_size, '"},"aliases":{"a-', p_partkey, '":{}}}}}]}') AS value
 FROM part"""
 
 # One field alike everywhere, whose indices aren't listed, and one with two types.
@@ -390,12 +390,16 @@ SELECT concat('ip-', p_partkey) AS id,
        '","type":"old","count":2},{"name":"one-', p_partkey, '","type":"older","count":4},{"name":"gone-', p_partkey, '","count":1}]') AS fields
 FROM part"""
 
-# Policies with keys that no table names.
+# A list of which nothing is left.
+SQL["bare_lists"] = """
+SELECT concat('bare-', p_partkey) AS id, '[{"name":"gone","type":"string","count":1}]' AS fields FROM part"""
+
+# Policies with keys that no table names, at every level.
 SQL["policy_bodies"] = """
 SELECT concat('{"_id":"policy-', c_custkey, '","_seq_no":', c_custkey % 5, ',"_primary_term":1,"policy":{"policy_id":"policy-', c_custkey, '","schema_version":', c_custkey % 20,
-       ',"error_notification":{"channel":"ops"},"default_state":"hot","states":[{"name":"hot","actions":[{"rollover":{"min_size":"', c_custkey % 60,
-       'gb"}}],"transitions":[{"state_name":"warm","conditions":{"min_index_age":"1d"}}]},{"name":"warm","actions":[],"transitions":[]}],"ism_template":[{"index_patterns":["logs-',
-       c_custkey, '*"],"priority":1}]}}') AS value
+       ',"error_notification":{"channel":"ops"},"default_state":"hot","states":[{"name":"hot","note":"n', c_custkey % 8, '","actions":[{"retry":{"count":3},"rollover":{"min_size":"', c_custkey % 60,
+       'gb"}}],"transitions":[{"state_name":"warm","x":', c_custkey % 7, ',"conditions":{"min_index_age":"1d"}}]},{"name":"warm","actions":[],"transitions":[]}],"ism_template":[{"index_patterns":["logs-',
+       c_custkey, '*"],"priority":1,"owner":"team-', c_custkey % 4, '"}]}}') AS value
 FROM customer"""
 
 # Dashboards with damaged panels or a missing visualization; visualizations that read a missing field

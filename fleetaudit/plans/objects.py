@@ -8,6 +8,7 @@ from fleetaudit.plans.registry import query
 from fleetaudit.sinks import tables
 from fleetaudit.sources import readers
 from fleetaudit.sources import schemas as T
+from fleetaudit.sources.layout import new_folder
 
 # ---------------------------------------------------------------------------
 # Listings
@@ -163,16 +164,27 @@ def import_tally(inputs):
     return O.import_tally(O.import_outcome(wanted, inputs("import_errors")), skipped)
 
 
-LAST = ", last AS (SELECT type, id, arg_max(title, ordinal) AS title FROM incoming_objects GROUP BY 1, 2)"
+LAST = ", last AS (SELECT type, id, last(title ORDER BY ordinal NULLS FIRST, title) AS title FROM incoming_objects GROUP BY 1, 2)"
+UPSERTED = LAST + """
+SELECT type, id, title FROM stored_objects s WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.type = s.type AND l.id = s.id)
+UNION ALL SELECT type, id, title FROM last"""
 
 
-@query("upsert_objects", ("stored_objects", "incoming_objects"), LAST + """
-SELECT type, id, title FROM stored_objects s WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.type = s.type AND l.id = s.id)
-UNION ALL SELECT type, id, title FROM last""")
+@query("upsert_objects", ("stored_objects", "incoming_objects"), UPSERTED)
 def upsert_objects(inputs):
     return tables.upsert(inputs("stored_objects"), inputs("incoming_objects"), order="ordinal")
 
 
+@query("upsert_buckets", ("stored_objects", "incoming_objects"), UPSERTED)
+def upsert_buckets(inputs):
+    """The same on a stored table, of which only touched buckets are written anew."""
+    inputs.need_folder()
+    path = new_folder(inputs.spark, "objects")
+    tables.write_buckets(inputs("stored_objects"), path, buckets=16)
+    tables.upsert_into(path, inputs("incoming_objects"), order="ordinal", buckets=16)
+    return tables.read_buckets(inputs.spark, path)
+
+
 @query("delete_objects", ("stored_objects", "incoming_objects"), """
 SELECT type, id, title FROM stored_objects s WHERE NOT EXISTS (SELECT 1 FROM incoming_objects l WHERE l.type = s.type AND l.id = s.id)""")
 def delete_objects(inputs):

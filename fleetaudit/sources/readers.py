@@ -20,10 +20,20 @@ from fleetaudit.operators.saved_objects import HEADER_KEY, NO_TITLE, without_def
 from fleetaudit.sources import schemas as T
 
 
+#: The file that a body came from; with the place inside the body it numbers rows alike however they are dealt out.
+SOURCE_FILE = "source_file"
+
+
+def _place(df: DataFrame, position: Column) -> Column:
+    """Where a row stood in the dump. Nothing is known of bodies that came from no file."""
+    file = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else F.lit(None).cast("string")
+    return F.struct(file.alias("file"), position.cast("int").alias("position")).alias("place")
+
+
 def read_responses(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per file. Paths may hold wildcards; one that matches nothing is an error."""
+    """One row per file, with its path in ``source_file``. Paths may hold wildcards; one that matches nothing is an error."""
     wanted = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
-    return spark.read.text(wanted, wholetext=True)
+    return spark.read.text(wanted, wholetext=True).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def _parsed(responses: DataFrame, schema: str, scope: Sequence[str]) -> DataFrame:
@@ -115,31 +125,20 @@ def policy_named(policies_table: DataFrame, name: str) -> DataFrame:
     return policies_table.filter(F.col("policy_id") == name)
 
 
+def _templates(responses: DataFrame, kind: str, scope: Sequence[str]) -> DataFrame:
+    """``name``, the template's parts as ``t``, and its whole text as ``body``."""
+    listed = _parsed(responses, T.TEMPLATE_LIST, scope).select(*scope, F.explode(F.col("body")[f"{kind}s"]).alias("e"))
+    return listed.select(*scope, F.coalesce("e.name", F.lit("-")).alias("name"), F.col("e")[kind].alias("body")).withColumn("t", F.from_json("body", T.INDEX_TEMPLATE))
+
+
 def index_templates(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    return (
-        _parsed(responses, T.INDEX_TEMPLATES, scope)
-        .select(*scope, F.explode("body.index_templates").alias("t"))
-        .select(
-            *scope,
-            F.coalesce("t.name", F.lit("-")).alias("name"),
-            "t.index_template.index_patterns",
-            "t.index_template.composed_of",
-            F.col("t.index_template.template.settings").alias("settings"),
-        )
-    )
+    return _templates(responses, "index_template", scope).select(
+        *scope, "name", "t.index_patterns", "t.composed_of", F.col("t.template.settings").alias("settings"), "body")
 
 
 def component_templates(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    return (
-        _parsed(responses, T.COMPONENT_TEMPLATES, scope)
-        .select(*scope, F.explode("body.component_templates").alias("t"))
-        .select(
-            *scope,
-            F.coalesce("t.name", F.lit("-")).alias("name"),
-            "t.component_template.version",
-            F.col("t.component_template.template.settings").alias("settings"),
-        )
-    )
+    return _templates(responses, "component_template", scope).select(
+        *scope, "name", "t.version", F.col("t.template.settings").alias("settings"), "body")
 
 
 def data_streams(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -255,9 +254,16 @@ def _no_references() -> Column:
 
 def objects_from_pages(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Pages of a saved-object search -> saved objects; missing keys get their defaults."""
+    return _placed_pages(responses, scope).drop("place")
+
+
+def _placed_pages(responses: DataFrame, scope: Sequence[str]) -> DataFrame:
     spaces = F.when(F.size("o.workspaces") > 0, F.col("o.workspaces")).otherwise(F.col("o.namespaces"))
-    rows = _parsed(responses, T.FIND_PAGE, scope).select(*scope, F.explode("body.saved_objects").alias("o")).select(
+    body = F.from_json("value", T.FIND_PAGE)
+    listed = responses.select("*", F.posexplode(body["saved_objects"]).alias("position", "o"))
+    rows = listed.select(
         *scope,
+        _place(listed, F.col("position")),
         "o.type",
         "o.id",
         F.coalesce("o.attributes", F.lit("{}")).alias("attributes"),
@@ -265,7 +271,7 @@ def objects_from_pages(responses: DataFrame, scope: Sequence[str] = ()) -> DataF
         without_default_workspace(spaces).alias("workspaces"),
         F.coalesce("o.updated_at", F.lit("")).alias("updated_at"),
     )
-    return _titled(rows, scope)
+    return _titled(rows, [*scope, "place"])
 
 
 def objects_from_documents(documents: DataFrame, types: Sequence[str] = (), scope: Sequence[str] = ()) -> DataFrame:
@@ -274,14 +280,20 @@ def objects_from_documents(documents: DataFrame, types: Sequence[str] = (), scop
     The id loses its ``type:`` prefix; attributes sit under the key the type names, and
     anything there but an object counts as no attributes.
     """
+    return _placed_documents(documents, types, scope).drop("place")
+
+
+def _placed_documents(documents: DataFrame, types: Sequence[str], scope: Sequence[str]) -> DataFrame:
     kind = F.col("source")["type"]
     own = F.try_element_at(F.col("source"), kind)
     space = S.blank_to_null(F.col("source")["namespace"])
-    rows = documents.select(*scope, "_id", _entries(F.col("_source")).alias("source"))
+    place = F.col("place") if "place" in documents.columns else _place(documents, F.lit(None))
+    rows = documents.select(*scope, place, "_id", _entries(F.col("_source")).alias("source"))
     if types:
         rows = rows.filter(kind.isin(*types))
     rows = rows.select(
         *scope,
+        "place",
         kind.alias("type"),
         F.substring("_id", F.locate(":", F.col("_id")) + 1, F.length("_id")).alias("id"),
         F.when(J.object_from_text(own).isNotNull(), own).otherwise("{}").alias("attributes"),
@@ -289,29 +301,36 @@ def objects_from_documents(documents: DataFrame, types: Sequence[str] = (), scop
         without_default_workspace(F.array_compact(F.array(space))).alias("workspaces"),
         F.coalesce(F.col("source")["updated_at"], F.lit("")).alias("updated_at"),
     )
-    return _titled(rows, scope)
+    return _titled(rows, [*scope, "place"])
 
 
 def search_documents(responses: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Search response -> raw documents ``_id, _source``."""
-    return _parsed(responses, T.RAW_SEARCH, scope).select(*scope, F.inline("body.hits.hits"))
+    """Search response -> raw documents ``_id, _source`` and the ``place`` where each stood."""
+    hits = responses.select("*", F.posexplode(F.from_json("value", T.RAW_SEARCH)["hits"]["hits"]).alias("position", "hit"))
+    return hits.select(*scope, _place(hits, F.col("position")), "hit.*")
 
 
 def saved_objects(
     pages: DataFrame | None = None, documents: DataFrame | None = None, types: Sequence[str] = (), scope: Sequence[str] = ()
 ) -> DataFrame:
-    """One table from either layout, or from both, with one row per object: the last of its rows, documents after pages."""
+    """One table from either layout, or from both, with one row per object: the last of its rows, documents after pages.
+
+    Rows follow each other by file and place in the file; rows of one place, and those of which no place is
+    known, by their contents. So the row that stays doesn't depend on how the rows are dealt out.
+    """
     frames = []
     if pages is not None:
-        found = objects_from_pages(pages, scope)
+        found = _placed_pages(pages, scope)
         frames.append(found.filter(F.col("type").isin(*types)) if types else found)
     if documents is not None:
-        frames.append(objects_from_documents(documents, types, scope))
+        frames.append(_placed_documents(documents, types, scope))
     if not frames:
         raise ValueError("saved_objects needs at least one source")
-    placed = [f.withColumn("place", F.struct(F.lit(k).alias("layout"), F.monotonically_increasing_id().alias("row"))) for k, f in enumerate(frames)]
+    columns = [c for c in frames[0].columns if c != "place"]
+    contents = F.to_json(F.struct(*columns)).alias("contents")
+    placed = [f.withColumn("place", F.struct(F.lit(k).alias("layout"), "place.file", "place.position", contents)) for k, f in enumerate(frames)]
     rows = reduce(DataFrame.unionByName, placed)
-    kept = F.struct(*[c for c in frames[0].columns])
+    kept = F.struct(*columns)
     return rows.groupBy(*[F.col(c).alias(f"key_{c}") for c in (*scope, "type", "id")]).agg(F.max_by(kept, "place").alias("kept")).select("kept.*")
 
 

@@ -20,14 +20,10 @@ MANAGED_SEARCH = (
     "struct<hits:struct<hits:array<struct<_source:struct<managed_index:struct<index:string,policy_id:string,"
     "policy_seq_no:bigint,schedule:struct<interval:struct<period:int,unit:string>>>>>>>>"
 )
-INDEX_TEMPLATES = (
-    "struct<index_templates:array<struct<name:string,index_template:struct<index_patterns:array<string>,"
-    "composed_of:array<string>,version:bigint,template:struct<settings:string>>>>>"
-)
-COMPONENT_TEMPLATES = (
-    "struct<component_templates:array<struct<name:string,component_template:struct<version:bigint,"
-    "template:struct<settings:string>>>>>"
+INDEX_TEMPLATE = (
+    "struct<index_patterns:array<string>,composed_of:array<string>,version:bigint,template:struct<settings:string>>"
 )
+TEMPLATE_LIST = "struct<index_templates:array<struct<name:string,index_template:string>>,component_templates:array<struct<name:string,component_template:string>>>"
 TASK_NODES = (
     "struct<nodes:map<string,struct<name:string,tasks:map<string,struct<action:string,running_time_in_nanos:bigint,"
     "parent_task_id:string,description:string>>>>>"

@@ -70,7 +70,7 @@ def test_names_mappings_templates_tasks(spark, tmp_path):
         {"name": "t", "index_template": {"index_patterns": ["a*"], "composed_of": ["c"], "template": {"settings": {"x": 1}}}}, {}]})))
     assert {(r.name, r.settings) for r in idx.collect()} == {("t", '{"x":1}'), ("-", None)}
     comp = readers.component_templates(readers.read_responses(spark, _dump(tmp_path / "ct", {"component_templates": [{"name": "c", "component_template": {"version": 3}}]})))
-    assert tuple(comp.first()) == ("c", 3, None)
+    assert tuple(comp.first()) == ("c", 3, None, '{"version":3}')
 
     tasks = readers.tasks(readers.read_responses(spark, _dump(tmp_path / "t", {"nodes": {"n": {"name": "node", "tasks": {"n:1": {"action": "a"}, "n:2": {}}}}})))
     assert {(r.node, r.task_id, r.action) for r in tasks.collect()} == {("node", "n:1", "a"), ("node", "n:2", None)}
