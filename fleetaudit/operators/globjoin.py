@@ -12,15 +12,20 @@ prefix     ``logs-*``              the first characters
 suffix     ``*-old``               the last characters
 any        ``*``                   none, every name matches
 ends       ``logs-*-old``          the first characters and the last ones
-inner      ``*mid*``               its first 3 characters, then the whole text is looked for
-head       ``logs-?*``             the first characters, then the regex
-gram       ``?ab*c``               first 3 characters of the longest fixed run, then the regex
+inner      ``*mid*``               3 characters of it, then the whole text is looked for
+head       ``logs-?*``             the first characters, or 3 of any fixed run; then the regex
+gram       ``?ab*c``               3 characters of a fixed run, then the regex
 length     ``??``, ``[ab]``        name length, then the regex
 shape      ``??*``, ``[ab]*``      least name length, then the regex
 =========  ======================  ==========================================
 
 Names are expanded only for the kinds and lengths that some pattern asks for; that small
 set (at most a few lengths per kind) reaches the scan as a scalar subquery.
+
+Where a pattern has several anchors to choose from, it takes the one that the fewest names answer
+to. Those counts come from the names themselves, in one pass ahead of the join, and also tell
+which anchors so many names answer to that their rows have to be spread over tasks. A pattern that
+every name matches takes no part in the join.
 """
 
 from __future__ import annotations
@@ -31,15 +36,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetaudit.functions.globs import glob_regex, tokens
+from fleetaudit.sources.layout import has_folder, kept
 
 GRAM = 3
+#: So many names with one anchor go to one task; more are spread over several.
+NAMES_PER_TASK = 100_000
+#: Stands for wildcards between fixed texts.
+GAP = "\x00"
 CERTAIN = ("exact", "prefix", "suffix", "any", "ends")
 FROM_START = ("prefix", "head", "ends")
 ANCHOR = ("kind", "size", "tail", "anchor")
 
 
 def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = ()) -> DataFrame:
-    """Distinct patterns with ``kind``, ``size``, ``tail`` (size of the second piece) and ``anchor``, and the regex where one is needed."""
+    """Distinct patterns with ``kind``, ``size``, ``tail`` (size of the second piece) and ``anchor``, and the regex where one is needed.
+
+    ``choices`` are all anchors that a pattern can be found by, the one above among them unless it is a
+    fixed run's.
+    """
     toks, marks = F.col("toks"), F.col("marks")
     kind_of = F.col("kind")
     # One letter per token: L fixed character, A any run, Q any character, S set.
@@ -48,10 +62,11 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     )
     head = F.length(F.regexp_extract(marks, "^L*", 0))
     tail = F.length(F.regexp_extract(marks, "L*$", 0))
-    # The longest fixed run behind the head, or at all where there is no head.
-    later = F.substring(marks, head + 1, F.length(marks))
-    longest = F.coalesce(F.array_max(F.transform(F.regexp_extract_all(later, F.lit("(L+)"), F.lit(1)), F.length)), F.lit(0))
-    run_start = head + F.call_function("locate", F.repeat(F.lit("L"), F.col("run")), later)
+    # The texts between wildcards, and the longest of them.
+    fixed = F.array_join(F.transform("toks", lambda t: F.when(_is_wild(t), GAP).otherwise(t)), "")
+    runs = F.filter(F.split(fixed, GAP), lambda run: run != "")
+    longest = F.array_max(F.transform("runs", lambda run: F.struct(F.length(run).alias("length"), run.alias("run"))))
+    run = F.coalesce(F.col("longest.length"), F.lit(0))
     kind = (
         F.when(F.rlike(marks, F.lit("^L*$")), "exact")
         .when(F.rlike(marks, F.lit("^A+$")), "any")
@@ -67,7 +82,7 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     size = (
         F.when(kind_of.isin(*FROM_START), head)
         .when(kind_of == "suffix", tail)
-        .when(kind_of.isin("gram", "inner"), F.least(F.col("run"), F.lit(GRAM)))
+        .when(kind_of.isin("gram", "inner"), F.least(run, F.lit(GRAM)))
         .when(kind_of.isin("shape", "length"), F.length(F.replace(marks, F.lit("A"), F.lit(""))))
         .otherwise(0)
     )
@@ -80,7 +95,7 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
         .when(kind_of == "ends", F.concat(piece(1, F.col("size")), piece(F.size(toks) - F.col("tail") + 1, F.col("tail"))))
         .when(kind_of.isin(*FROM_START), piece(1, F.col("size")))
         .when(kind_of == "suffix", piece(F.size(toks) - F.col("size") + 1, F.col("size")))
-        .when(kind_of.isin("gram", "inner"), piece(run_start, F.col("size")))
+        .when(kind_of.isin("gram", "inner"), F.left("longest.run", F.col("size")))
         .otherwise("")
     )
     # No NULLs in the join keys: the optimizer would push null checks, and with them copies of
@@ -88,24 +103,35 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     size, anchor = F.coalesce(size, F.lit(0)), F.coalesce(anchor, F.lit(""))
     # What is left to compare once the anchors agree; NULL when nothing is. A text that a
     # matching name must contain comes first, since it is far cheaper than the regex.
-    probe = F.when(~kind_of.isin(*CERTAIN), piece(run_start, F.col("run")))
+    probe = F.when(~kind_of.isin(*CERTAIN), F.coalesce("longest.run", F.lit("")))
+    own = F.struct("kind", "size", "tail", "anchor")
+    gram = F.least(run, F.lit(GRAM))
+
+    def grams(text: Column) -> Column:
+        starts = F.when(F.length(text) >= gram, F.sequence(F.lit(1), F.length(text) - gram + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(F.lit("gram").alias("kind"), gram.alias("size"), F.lit(0).alias("tail"), F.substring(text, i, gram).alias("anchor")))
+
+    by_run = F.array_distinct(F.flatten(F.transform("runs", grams)))
+    choices = F.when(kind_of.isin("gram", "inner"), by_run).when(kind_of == "head", F.concat(F.array(own), by_run)).otherwise(F.array(own))
     regex = F.when(~kind_of.isin(*CERTAIN, "inner"), glob_regex(F.col("pattern")))
-    return (
-        patterns.select(*scope, F.col(column).alias("pattern"))
-        .filter(F.col("pattern").isNotNull())
-        .distinct()
-        .withColumn("raw", tokens(F.col("pattern")))
-        .withColumn("toks", F.transform("raw", lambda t: F.when(_is_fixed_set(t), F.substring(t, 2, 1)).otherwise(t)))
-        .withColumn("marks", F.array_join(mark, ""))
-        .withColumn("kind", kind)
-        .withColumn("run", longest)
-        .withColumn("size", size)
-        .withColumn("tail", F.when(kind_of == "ends", F.coalesce(tail, F.lit(0))).otherwise(0))
-        .withColumn("anchor", anchor)
-        .withColumn("probe", probe)
-        .withColumn("regex", regex)
-        .drop("raw", "toks", "marks", "run")
+    rows = patterns.select(*scope, F.col(column).alias("pattern")).filter(F.col("pattern").isNotNull()).distinct()
+    steps = (
+        {"raw": tokens(F.col("pattern"))},
+        {"toks": F.transform("raw", lambda t: F.when(_is_fixed_set(t), F.substring(t, 2, 1)).otherwise(t)), "marks": F.array_join(mark, "")},
+        {"kind": kind, "runs": runs},
+        {"longest": longest},
+        {"size": size, "tail": F.when(kind_of == "ends", F.coalesce(tail, F.lit(0))).otherwise(0)},
+        {"anchor": anchor, "probe": probe, "regex": regex},
+        {"choices": choices},
     )
+    for step in steps:
+        rows = _settle(rows.withColumns(step))
+    return rows.drop("raw", "toks", "marks", "runs", "longest")
+
+
+def _settle(rows: DataFrame) -> DataFrame:
+    """Keeps the optimizer from working columns out anew wherever they are used."""
+    return rows.select(F.inline(F.array(F.struct("*"))))
 
 
 def _is_fixed_set(token: Column) -> Column:
@@ -113,6 +139,10 @@ def _is_fixed_set(token: Column) -> Column:
     return (F.length(token) == 3) & ~F.startswith(token, F.lit("[!"))
 
 
+def _is_wild(token: Column) -> Column:
+    return token.isin("*", "?") | _is_set(token)
+
+
 def _is_set(token: Column) -> Column:
     return (F.length(token) > 1) & ~_is_fixed_set(token)
 
@@ -168,13 +198,31 @@ def _fits() -> Column:
     return (
         F.when(probe.isNull(), True)
         .when(~F.contains(name, probe), False)
-        .when(F.col("kind") == "inner", True)
+        .when(F.col("regex").isNull(), True)
         .otherwise(F.rlike(name, F.col("regex")))
     )
 
 
-def _salt_of_name(count: int) -> Column:
-    return F.coalesce(F.pmod(F.xxhash64("name"), F.lit(count)).cast("int"), F.lit(0))
+def _settled(anchored: DataFrame, names: DataFrame, scope: Sequence[str], names_per_task: int) -> DataFrame:
+    """``anchored`` with the anchor that the fewest names answer to, and into how many ``parts`` those names are dealt.
+
+    Patterns that no name answers to are gone.
+    """
+    carried = ("pattern", "probe", "regex")
+    offered = anchored.select(*scope, *carried, F.explode("choices").alias("c")).select(*scope, *carried, "c.*")
+    asked = offered.select(*scope, *ANCHOR).distinct()
+    loads = _anchored_names(names, offered, scope).join(asked, [*scope, *ANCHOR], "left_semi").groupBy(*scope, *ANCHOR).agg(F.count(F.lit(1)).alias("load"))
+    # A choice that no name answers to settles that the pattern matches nothing.
+    weighed = offered.join(loads, [*scope, *ANCHOR], "left").withColumn("load", F.coalesce("load", F.lit(0)))
+    best = F.min_by(F.struct(*ANCHOR, "probe", "regex", "load"), F.struct("load", *ANCHOR))
+    chosen = weighed.groupBy(*scope, "pattern").agg(best.alias("b")).select(*scope, "pattern", "b.*").filter("load > 0")
+    settled = chosen.withColumn("parts", F.ceil(F.col("load") / names_per_task).cast("int")).drop("load")
+    return _once(settled)
+
+
+def _once(patterns: DataFrame) -> DataFrame:
+    """A table of patterns that several parts of a join use, written down where the session names a folder for that."""
+    return kept(patterns) if has_folder(patterns.sparkSession) else patterns
 
 
 def glob_pairs(
@@ -182,27 +230,40 @@ def glob_pairs(
     names: DataFrame,
     pattern_column: str = "pattern",
     scope: Sequence[str] = (),
-    salts: int = 8,
     carry: Sequence[str] = (),
+    names_per_task: int = NAMES_PER_TASK,
 ) -> DataFrame:
     """All pairs of a distinct pattern and a name it matches: ``scope, pattern, name``.
 
-    One naming prefix often holds a large part of all names, so the rows of one anchor
-    spread over ``salts`` tasks by a hash of the name; patterns are copied to each salt.
-    Every row of ``names`` is matched by itself and keeps the columns in ``carry``.
+    One naming prefix often holds a large part of all names, so the rows of an anchor that more
+    than ``names_per_task`` names answer to are dealt out by a hash of the name, and its patterns copied to
+    each part. Every row of ``names`` is matched by itself and keeps the columns in ``carry``.
     """
-    pairs = _pairs(anchored_patterns(patterns, pattern_column, scope), names, scope, salts, carry)
-    return pairs.select(*scope, "pattern", "name", *carry)
+    anchored = _once(anchored_patterns(patterns, pattern_column, scope))
+    some = _pairs(anchored.filter("kind <> 'any'"), names, scope, names_per_task, carry)
+    return some.select(*scope, "pattern", "name", *carry).unionByName(_with_any(anchored, names, scope, carry))
+
+
+def _with_any(anchored: DataFrame, names: DataFrame, scope: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """Every name with the patterns that match all names (``*``, ``**``); each scope has a list of those."""
+    every = anchored.filter("kind = 'any'").groupBy(*scope).agg(F.collect_list("pattern").alias("every"))
+    named = names.filter(F.col("name") != "")
+    found = named.join(every, [*scope]) if scope else named.withColumn("every", every.select("every").scalar())
+    return found.select(*scope, F.explode("every").alias("pattern"), "name", *carry)
 
 
-def _pairs(anchored: DataFrame, names: DataFrame, scope: Sequence[str], salts: int, carry: Sequence[str] = ()) -> DataFrame:
-    left = _anchored_names(names, anchored, scope, carry).withColumn("salt", _salt_of_name(salts))
-    right = anchored.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return left.join(right, [*scope, *ANCHOR, "salt"]).filter(_fits())
+def _pairs(anchored: DataFrame, names: DataFrame, scope: Sequence[str], names_per_task: int, carry: Sequence[str] = ()) -> DataFrame:
+    keys = [*scope, *ANCHOR]
+    settled = _settled(anchored, names, scope, names_per_task)
+    heavy = settled.filter("parts > 1").select(*keys, "parts").distinct()
+    left = _anchored_names(names, settled, scope, carry).join(heavy, keys, "left")
+    left = left.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("name"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    right = settled.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return left.join(right, [*keys, "salt"]).filter(_fits())
 
 
 def covered_patterns(
-    patterns: DataFrame, names: DataFrame, pattern_column: str = "pattern", scope: Sequence[str] = (), salts: int = 8
+    patterns: DataFrame, names: DataFrame, pattern_column: str = "pattern", scope: Sequence[str] = (), names_per_task: int = NAMES_PER_TASK
 ) -> DataFrame:
     """The distinct patterns that match at least one name.
 
@@ -210,9 +271,9 @@ def covered_patterns(
     before they are shuffled. The other patterns meet the single names; as long as those
     patterns are few enough for Spark to broadcast them, the names are not shuffled at all.
     """
-    anchored = anchored_patterns(patterns, pattern_column, scope)
+    anchored = _once(anchored_patterns(patterns, pattern_column, scope))
     by_anchor = F.col("kind").isin(*CERTAIN)
     certain, others = anchored.filter(by_anchor), anchored.filter(~by_anchor)
     answered = _anchored_names(names, certain, scope).select(*scope, *ANCHOR).distinct()
     found = certain.join(answered, [*scope, *ANCHOR], "left_semi").select(*scope, "pattern")
-    return found.unionByName(_pairs(others, names, scope, salts).select(*scope, "pattern").distinct())
+    return found.unionByName(_pairs(others, names, scope, names_per_task).select(*scope, "pattern").distinct())

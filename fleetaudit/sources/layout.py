@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def has_folder(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path not used before in the folder that ``spark.checkpoint.dir`` names, which all executors have to share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
