@@ -7,6 +7,7 @@ for any other.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -209,22 +210,28 @@ def mapping_paths(properties: Column) -> Column:
     return F.array_distinct(_descend(properties, nodes(as_object(parsed(properties)), F.lit("")), step))
 
 
-def values_of_key(document: Column, key: str = "field") -> Column:
-    """Every text held by ``key`` at any depth of a JSON text, repeats kept."""
-    is_hit = lambda e: (e["key"] == key) & as_text(e["value"]).isNotNull()
+#: Stand for an escaped backslash and an escaped quote; written JSON has no such characters of its own.
+BACKSLASH, QUOTE = "\x01", "\x02"
 
-    def step(level: Column) -> Column:
-        entries = F.flatten(F.transform(level, lambda n: F.map_entries(F.coalesce(as_object(n), empty_object()))))
-        items = F.flatten(F.transform(level, lambda n: F.coalesce(as_list(n), F.array().cast(LIST))))
 
-        def split(e: Column) -> Column:
-            inside = F.transform(F.filter(e, lambda x: ~is_hit(x)), lambda x: x["value"])
-            found = F.transform(F.filter(e, is_hit), lambda x: as_text(x["value"]))
-            return F.struct(F.concat(inside, items).alias("level"), found.alias("found"))
+def values_of_key(document: Column, key: str = "field") -> Column:
+    """Every text held by ``key`` at any depth of a JSON text, repeats kept.
+
+    The document is parsed and written again, which leaves one spelling of each key, the last of
+    equal keys, and no spaces. In that text every quoted string is looked at once, together with the
+    string it is the key of, if it is; however deep it lies, a key is told by what follows it.
+    """
+    name = json.dumps(key, ensure_ascii=False) + ":"
+    told = F.replace(F.replace(F.to_json(parsed(document)), F.lit("\\\\"), F.lit(BACKSLASH)), F.lit('\\"'), F.lit(QUOTE))
+    pairs = F.filter(F.regexp_extract_all(told, F.lit('"[^"]*+"(?::"[^"]*+")?'), F.lit(0)), lambda pair: F.startswith(pair, F.lit(name + '"')))
 
-        return let(entries, split)
+    def value(pair: Column) -> Column:
+        quoted = F.substring(pair, len(name) + 1, F.length(pair))
+        escaped = F.replace(F.replace(quoted, F.lit(BACKSLASH), F.lit("\\\\")), F.lit(QUOTE), F.lit('\\"'))
+        plain = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+        return F.when(F.contains(escaped, F.lit("\\")), F.try_parse_json(escaped).cast("string")).otherwise(plain)
 
-    return _descend(document, F.array_compact(F.array(parsed(document))), step)
+    return F.coalesce(F.transform(pairs, value), F.array().cast("array<string>"))
 
 
 # ---------------------------------------------------------------------------

@@ -105,3 +105,14 @@ def test_validity_agrees_with_python(spark, text):
     except ValueError:
         valid = False
     assert _one(spark, text, J.is_json) == valid
+
+
+def test_values_of_a_key_however_deep_and_spelt(spark):
+    deep = '{"field":"top","x":' * 9 + '[{"\\u0066ield":"low"}]' + "}" * 9
+    texts = ['say "hi"', "back\\slash", '\\"', "tab\t\u0001\u0002", "", '"field":"no"', "é日", "a:b", "x" * 20_000 + '"' * 9_000]
+    held = json.dumps({"a": [{"field": t} for t in texts], "b": {"field": {"field": 3}}, "field": ["field", "x"], "c": '{"field":"inside"}', "field2": "y", 'q"field': "z"})
+    cases = [(deep, ["low"] + ["top"] * 9), (held, sorted(texts)), ('{"field":1}', []), ("{}", []), (None, []), ("{bad", []), ('"field"', []),
+             ('{"a":{"field":"x"},"a":{"field":"last"}, "b" : {"field" : "spaced"}}', ["last", "spaced"])]
+    rows = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "k int, t string").select("k", J.values_of_key(F.col("t")).alias("got"))
+    for r in rows.collect():
+        assert sorted(r.got) == cases[r.k][1], r.k
