@@ -178,7 +178,6 @@ def upsert_objects(inputs):
 @query("upsert_buckets", ("stored_objects", "incoming_objects"), UPSERTED)
 def upsert_buckets(inputs):
     """The same on a stored table, of which only touched buckets are written anew."""
-    inputs.need_folder()
     path = new_folder(inputs.spark, "objects")
     tables.write_buckets(inputs("stored_objects"), path, buckets=16)
     tables.upsert_into(path, inputs("incoming_objects"), order="ordinal", buckets=16)

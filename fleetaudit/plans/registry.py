@@ -23,6 +23,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # the last of equal keys counts, as other readers have it
+        self.need_folder()  # joins by name patterns write their small tables there
         self._views: dict[str, str] = {}
         self._built: dict[str, DataFrame] = {}
         self._shared: dict[str, DataFrame] = {}
@@ -41,7 +42,6 @@ class Inputs:
 
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A result that several parts of a query use, worked out once and kept in the checkpoint folder."""
-        self.need_folder()
         if name not in self._shared:
             self._shared[name] = kept(build())
         return self._shared[name]
