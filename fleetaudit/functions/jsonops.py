@@ -210,6 +210,44 @@ def mapping_paths(properties: Column) -> Column:
     return F.array_distinct(_descend(properties, nodes(as_object(parsed(properties)), F.lit("")), step))
 
 
+#: Keys that a VARIANT path can spell; any other is looked up in the object as a map.
+PLAIN_KEY = r"\A[A-Za-z0-9_@-]+\z"
+
+
+def member(obj: Column, key: Column) -> Column:
+    """The value at a key that is itself a column; NULL where there is none or ``obj`` is no object."""
+    return F.when(F.rlike(key, F.lit(PLAIN_KEY)), F.try_variant_get(obj, F.concat(F.lit("$."), key), "variant")).otherwise(as_object(obj)[key])
+
+
+def holds_path(properties: Column, path: Column) -> Column:
+    """Whether one path is among the ``mapping_paths`` of a mapping (VARIANT), found by walking that path alone.
+
+    Keys may hold dots themselves, so from every node that is reached each longer stretch of the
+    rest is tried as a key. A mapping's size doesn't matter, only the number of parts of the path.
+    """
+    parts = F.split(path, r"\.", -1)
+
+    def key(after: Column, upto: Column) -> Column:
+        return F.array_join(F.slice(parts, after + 1, upto - after), ".")
+
+    def reached(at: Column, node: Column) -> Column:
+        is_object = F.startswith(F.schema_of_variant(node), F.lit("OBJECT<"))
+        inside = {name: F.try_variant_get(node, _path((name,)), "variant").alias(name) for name in ("properties", "fields")}
+        return F.when(is_object, F.struct(at.alias("at"), *inside.values()))
+
+    def onward(nodes: Column, upto: Column) -> Column:
+        found = F.transform(nodes, lambda n: let(member(n["properties"], key(n["at"], upto)), lambda node: reached(upto, node)))
+        return F.concat(nodes, F.array_compact(found))
+
+    start = F.array(F.struct(F.lit(0).alias("at"), properties.alias("properties"), F.lit(None).cast("variant").alias("fields")))
+
+    def ends(nodes: Column) -> Column:
+        n = F.size(parts)
+        return F.exists(nodes, lambda s: (s["at"] == n) | ((s["at"] < n) & member(s["fields"], key(s["at"], n)).isNotNull()))
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(parts)), start, onward, ends)
+
+
 #: Stand for an escaped backslash and an escaped quote; written JSON has no such characters of its own.
 BACKSLASH, QUOTE = "\x01", "\x02"
 

@@ -7,7 +7,8 @@ The chain is dashboard -> visualization -> search -> index pattern -> mapping. T
 ``patterns``  id, title, time_field      the index patterns among the objects
 ``names``     name, index_name           every index, alias and data stream with the index behind it
 ``mapped``    index_name, mapping_id     indices with at least one field; equal mappings share one id
-``paths``     mapping_id, path           flattened field paths
+``paths``     mapping_id, path           flattened field paths; or
+              mapping_id, properties     the mappings' texts, which are searched for the asked paths only
 ``reads``     type, id, field, context   the fields an object reads
 ``docs``      type, id, title, search_source_json
 
@@ -92,18 +93,38 @@ def pattern_mappings(titles: DataFrame, names: DataFrame, mapped: DataFrame, sco
     return pairs.select(*scope, F.col("pattern").alias("title"), "mapping_id").distinct()
 
 
+#: Most paths looked up in one copy of a mapping; further ones take a copy of their own.
+PATHS_PER_LOOKUP = 512
+
+
+def held_paths(texts: DataFrame, asked: DataFrame, scope: Sequence[str] = (), per_lookup: int = PATHS_PER_LOOKUP) -> DataFrame:
+    """The pairs of ``asked`` (``mapping_id, field``) whose mapping has the field.
+
+    ``texts`` holds each mapping once (``mapping_id, properties``). It is parsed once for every
+    ``per_lookup`` paths that are asked of it and is never flattened; a mapping of which very many
+    paths are asked is dealt to as many rows as it takes.
+    """
+    key = [*scope, "mapping_id"]
+    wanted = asked.select(*key, "field").filter("mapping_id IS NOT NULL AND field IS NOT NULL").distinct()
+    counts = wanted.groupBy(*key).agg(F.ceil(F.count("*") / per_lookup).alias("lookups"))
+    dealt = wanted.join(counts, key).withColumn("lookup", F.pmod(F.xxhash64("field"), "lookups"))
+    lists = dealt.groupBy(*key, "lookup").agg(F.collect_list("field").alias("wanted"))
+    found = J.let(J.parsed(F.col("properties")), lambda doc: F.filter("wanted", lambda field: J.holds_path(doc, field)))
+    return lists.join(texts, key).select(*key, F.explode(found).alias("field"))
+
+
 def pattern_fields(behind: DataFrame, paths: DataFrame, asked: DataFrame | None = None, scope: Sequence[str] = ()) -> DataFrame:
     """Field set of every pattern title: ``title, field``. ``behind`` comes from ``pattern_mappings``.
 
     With ``asked`` (a table of ``title, field``), only those pairs are looked up, so that a
-    broad title doesn't meet all paths of its mappings.
+    broad title doesn't meet all paths of its mappings. Texts of mappings need ``asked``.
     """
-    known = paths.withColumnRenamed("path", "field")
     if asked is None:
-        found = behind.join(known, [*scope, "mapping_id"])
+        found = behind.join(paths.withColumnRenamed("path", "field"), [*scope, "mapping_id"])
     else:
         pairs = asked.select(*scope, "title", "field").distinct().join(behind, [*scope, "title"])
-        found = pairs.join(known, [*scope, "mapping_id", "field"], "left_semi")
+        held = held_paths(paths, pairs, scope) if "properties" in paths.columns else paths.withColumnRenamed("path", "field")
+        found = pairs.join(held, [*scope, "mapping_id", "field"], "left_semi")
     return found.select(*scope, "title", "field").distinct()
 
 

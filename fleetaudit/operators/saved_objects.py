@@ -190,20 +190,24 @@ def referenced_fields(objects: DataFrame, scope: Sequence[str] = ()) -> DataFram
     )
 
 
-def flattened_mappings(mappings: DataFrame, scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Mappings as ``(index_name, mapping_id)`` and ``(mapping_id, path)``.
+def distinct_mappings(mappings: DataFrame, scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Mappings as ``(index_name, mapping_id)`` and ``(mapping_id, properties)``, those with a field only.
 
-    Indices rolled over from one template share their mapping, so each distinct mapping
-    is flattened once, whatever the number of indices that carry it.
+    Indices rolled over from one template share their mapping. Equal texts fall together in the
+    task that reads them, by hashing, so a text leaves a task once, whatever the number of its indices.
     """
     keyed = mappings.withColumn("mapping_id", F.sha2("properties", 256))
     key = [*scope, "mapping_id"]
     fields = J.object_from_text(F.col("properties"))
     has_field = F.exists(F.map_values(fields), lambda v: J.as_object(v).isNotNull())
-    distinct = keyed.select(*key, "properties").dropDuplicates(key).filter(has_field)
-    mapped = keyed.select(*scope, "index_name", "mapping_id").join(distinct.select(*key), key, "left_semi")
-    paths = distinct.select(*key, F.explode(J.mapping_paths(F.col("properties"))).alias("path"))
-    return mapped, paths
+    texts = keyed.select(*key, "properties").distinct().filter(has_field)
+    return keyed.select(*scope, "index_name", "mapping_id").join(texts.select(*key), key, "left_semi"), texts
+
+
+def flattened_mappings(mappings: DataFrame, scope: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Mappings as ``(index_name, mapping_id)`` and ``(mapping_id, path)``; each distinct one is flattened once."""
+    mapped, texts = distinct_mappings(mappings, scope)
+    return mapped, texts.select(*scope, "mapping_id", F.explode(J.mapping_paths(F.col("properties"))).alias("path"))
 
 
 class Validation(NamedTuple):
@@ -230,7 +234,7 @@ def validate_dashboards(
     listed = objects.select(*scope, "type", "id", "title")
     resolved = store(R.resolved_edges(reference_edges(objects, scope), listed, scope))
     patterns, panels = index_patterns(objects, scope), dashboard_panels(objects, scope)
-    mapped, paths = flattened_mappings(mappings, scope)
+    mapped, paths = distinct_mappings(mappings, scope)
     behind = store(R.pattern_mappings(R.titled(patterns), names, mapped, scope))
     found = R.child_issues(
         resolved, patterns, names, mapped, paths, referenced_fields(objects, scope), search_sources(objects, scope), scope, behind

@@ -138,6 +138,28 @@ def mapping_paths(inputs):
     return mapped.join(paths, "mapping_id").select("index_name", "path")
 
 
+@query("mapping_lookup", ("mapping_docs",), """, q AS (
+SELECT o_custkey AS k, unnest([concat('a', o_custkey), concat('a', o_custkey, '.raw'), concat('a', o_custkey, '.', 'no'), concat('o.deep.z', o_custkey % 5),
+  concat('o.deep.z', o_custkey % 5, '.kw'), 'odd', 'o.x.y', concat('a', o_custkey + 1)]) AS path FROM orders),
+m AS (SELECT DISTINCT substr(index_name, 5)::BIGINT AS n, properties::JSON AS p FROM mapping_docs),
+a AS (SELECT DISTINCT m.n, q.path, m.p, string_split(q.path, '.') AS s FROM m JOIN orders ON o_orderkey = m.n JOIN q ON q.k = o_custkey)
+SELECT concat('idx-', n) AS index_name, path FROM a
+WHERE json_type(p, '$."' || array_to_string(s, '"."properties"."') || '"') = 'OBJECT'
+  OR (len(s) > 1 AND json_exists(p, '$."' || array_to_string(s[:-2], '"."properties"."') || '"."fields"."' || s[-1] || '"'))""")
+def mapping_lookup(inputs):
+    """Eight paths asked of each mapping, some of which it holds; no mapping is flattened."""
+    mapped, texts = O.distinct_mappings(inputs("mapping_docs"))
+    c = F.col("o_custkey").cast("string")
+    z = F.concat(F.lit("o.deep.z"), (F.col("o_custkey") % 5).cast("string"))
+    a = F.concat(F.lit("a"), c)
+    wanted = F.array(a, F.concat(a, F.lit(".raw")), F.concat(a, F.lit(".no")), z, F.concat(z, F.lit(".kw")), F.lit("odd"), F.lit("o.x.y"),
+                     F.concat(F.lit("a"), (F.col("o_custkey") + 1).cast("string")))
+    asked = inputs.table("orders").select(F.concat(F.lit("idx-"), F.col("o_orderkey").cast("string")).alias("index_name"), F.explode(wanted).alias("field"))
+    asked = asked.join(mapped, "index_name")
+    held = R.held_paths(texts, asked)
+    return asked.join(held, ["mapping_id", "field"], "left_semi").select("index_name", F.col("field").alias("path"))
+
+
 @query("nested_field_values", ("agg_docs",), """
 SELECT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey, json_extract_string(j.atom, '$') AS field
 FROM agg_docs a, json_tree(a.doc) j WHERE j.key = 'field' AND j.type = 'VARCHAR'""")
