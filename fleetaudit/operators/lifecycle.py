@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetaudit.functions import jsonops as J
 from fleetaudit.functions import scalars as S
 from fleetaudit.functions.globs import matches_any
+from fleetaudit.operators.joins import split_join
 
 Patterns = str | list[str] | tuple[str, ...]
 
@@ -222,7 +223,7 @@ def policy_version(
     )
     current = policies.select(*scope, F.col("policy_id").alias("policy"), F.col("seq_no").alias("current_seq_no"))
     drift = F.col("enrolled") & F.coalesce(F.col("index_seq_no") != F.col("current_seq_no"), F.lit(False))
-    return base.join(current, [*scope, "policy"], "left").select(
+    return split_join(base, current, [*scope, "policy"]).select(
         *scope, "index", "policy", "index_seq_no", "current_seq_no", drift.alias("drift"), "enrolled", "orphan", "state",
         "step_status",
     )

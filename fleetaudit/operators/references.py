@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from fleetaudit.functions import jsonops as J
 from fleetaudit.functions import scalars as S
 from fleetaudit.operators.globjoin import covered_patterns, glob_pairs
+from fleetaudit.operators.joins import split_join
 
 # Object types, levels, check names and message texts of the report.
 CHILD_TYPES = ("visualization", "search")
@@ -191,7 +192,8 @@ def resolved_edges(edges: DataFrame, objects: DataFrame, scope: Sequence[str] =
     """Every reference with ``found`` and the index pattern it offers to its owner.
 
     A pattern offers itself, a search the first index pattern it refers to, even a
-    missing one. One join answers all existence checks of the report.
+    missing one. One join answers all existence checks of the report; an object that very many
+    refer to is met by several tasks.
     """
     first = (
         edges.filter((F.col("src_type") == "search") & (F.col("ref_type") == "index-pattern"))
@@ -208,7 +210,8 @@ def resolved_edges(edges: DataFrame, objects: DataFrame, scope: Sequence[str] =
             *scope, F.col("type").alias("ref_type"), F.col("id").alias("ref_id"), F.lit(True).alias("found"), offers.alias("offers")
         )
     )
-    return edges.join(targets, [*scope, "ref_type", "ref_id"], "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    answered = split_join(edges, targets, [*scope, "ref_type", "ref_id"])
+    return answered.withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def broken_references(resolved: DataFrame, scope: Sequence[str] = ()) -> DataFrame:

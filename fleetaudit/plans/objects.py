@@ -1,5 +1,8 @@
 """Queries on saved objects, raw dumps and keyed updates."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetaudit.functions import jsonops as J
@@ -42,6 +45,27 @@ def workspace_objects(inputs):
     return O.in_workspace(pattern_objects(inputs), default="w2").select("id")
 
 
+@query("workspace_scope", ("pattern_docs",), """, w AS (SELECT id, string_split(spaces, ',') AS spaces FROM pattern_docs)
+SELECT 'explicit' AS scope, id FROM w WHERE list_contains(spaces, 'w2') UNION ALL SELECT 'all', id FROM w UNION ALL SELECT 'none', id FROM w
+UNION ALL SELECT 'default', id FROM w WHERE list_contains(spaces, 'w1')""")
+def workspace_scope(inputs):
+    """An explicit workspace goes before the lifted scope and the default, the lifted scope before the default."""
+    objects = pattern_objects(inputs)
+    chosen = {"explicit": {"explicit": "w2", "default": "w1", "everything": True}, "all": {"default": "w1", "everything": True}, "default": {"default": "w1"}, "none": {}}
+    return reduce(DataFrame.unionByName, [O.in_workspace(objects, **how).select(F.lit(name).alias("scope"), "id") for name, how in chosen.items()])
+
+
+@query("listing_totals", ("saved_objects", "pattern_docs", "detector_docs"), """
+SELECT type AS listing, COUNT(*) AS entries FROM saved_objects WHERE type IN ('dashboard', 'visualization', 'search') GROUP BY 1
+UNION ALL SELECT 'index-pattern', COUNT(*) FROM pattern_docs HAVING COUNT(*) > 0 UNION ALL SELECT 'detector', COUNT(*) FROM detector_docs HAVING COUNT(*) > 0""")
+def listing_totals(inputs):
+    """The totals under the listings, of all in one pass: ``listing, entries``."""
+    listed = O.list_objects(inputs("saved_objects")).select(F.col("type").alias("listing"))
+    patterns = O.list_index_patterns(pattern_objects(inputs)).select(F.lit(O.PATTERN_TYPE).alias("listing"))
+    detectors = O.list_detectors(inputs("detector_docs")).select(F.col("type").alias("listing"))
+    return listed.unionByName(patterns).unionByName(detectors).groupBy("listing").agg(F.count("*").alias("entries"))
+
+
 @query("detector_listing", ("detector_docs",), """
 SELECT 'detector' AS type, id, COALESCE(json_extract_string(detector, '$.name'), 'N/A') AS title FROM detector_docs ORDER BY title""")
 def detector_listing(inputs):
@@ -136,6 +160,24 @@ def export_records(inputs):
 
 
 
+@query("export_files", ("attribute_docs",), """, o AS (SELECT type, id, concat('T', o_orderkey) AS title FROM attribute_docs)
+SELECT 'older last' AS reading, type, id, title FROM o
+UNION ALL SELECT 'newer last', type, id, CASE WHEN type = 'search' THEN 'renamed' ELSE title END FROM o""")
+def export_files(inputs):
+    """Two exports written as files and read again; the one named later on counts, at its first naming."""
+    objects = attribute_objects(inputs)
+    renamed = objects.filter("type = 'search'").withColumn("attributes", F.lit('{"title":"renamed"}'))
+    older, newer = new_folder(inputs.spark, "export"), new_folder(inputs.spark, "export")
+    header = O.export_header(pattern_objects(inputs))
+    tables.write_export(O.export_records(objects), header, older)
+    tables.write_export(O.export_records(renamed), header, newer, by_type=False)
+
+    def imported(name, paths):
+        last = tables.last_per_key(readers.read_export(inputs.spark, paths), tables.OBJECT_KEY, "ordinal")
+        return last.select(F.lit(name).alias("reading"), "type", "id", J.as_text(J.parsed(F.col("attributes")), "title").alias("title"))
+
+    return imported("newer last", [older, newer, older]).unionByName(imported("older last", [newer, older, newer]))
+
 
 @query("export_header", ("pattern_docs",), "SELECT id, title FROM pattern_docs")
 def export_header(inputs):
