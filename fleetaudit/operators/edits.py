@@ -285,7 +285,7 @@ def set_transition(edits: DataFrame, policies: DataFrame, scope: Sequence[str] =
 
 
 def edit_ism_template(edits: DataFrame, policies: DataFrame, now_ms: int | Column | None = None, scope: Sequence[str] = ()) -> DataFrame:
-    """Edits of the entries that decide which indices a policy claims.
+    """Changes to the index patterns and priorities under a policy's ``ism_template``.
 
     Edit columns: ``replace`` (array of ``old, new``), ``remove``, ``add`` (arrays of
     patterns), ``entry_index`` and ``priority``. Replacements come first, then removals,

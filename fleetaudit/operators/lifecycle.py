@@ -85,7 +85,7 @@ def policy_status(
     failed_only: bool = False,
     scope: Sequence[str] = (),
 ) -> DataFrame:
-    """How each policy is executing. ``as_of`` is the epoch millisecond "time in step" counts to."""
+    """State, action and step of every managed index, and since when; ``as_of`` (epoch milliseconds) ends the time in step."""
     if as_of is None:
         as_of = F.unix_millis(F.current_timestamp())
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
@@ -197,11 +197,13 @@ def policy_version(
     index_filter: Patterns | None = None,
     include_orphans: bool = False,
     scope: Sequence[str] = (),
+    rows_per_part: int | None = None,
 ) -> DataFrame:
     """Policy revision every index runs, against the policy's current one.
 
     Drifted: runs another revision than the current one. Not enrolled: has a policy but
-    no state. Orphan: has no policy. An index whose policy is gone does not drift.
+    no state. Orphan: has no policy. An index whose policy is gone does not drift. With
+    ``rows_per_part``, indices of a policy with more of them are dealt to several tasks.
     """
     policy = S.blank_to_null(policy_of())
     wanted = policy.isNotNull()
@@ -223,7 +225,9 @@ def policy_version(
     )
     current = policies.select(*scope, F.col("policy_id").alias("policy"), F.col("seq_no").alias("current_seq_no"))
     drift = F.col("enrolled") & F.coalesce(F.col("index_seq_no") != F.col("current_seq_no"), F.lit(False))
-    return split_join(base, current, [*scope, "policy"]).select(
+    key = [*scope, "policy"]
+    versioned = split_join(base, current, key, rows_per_part=rows_per_part) if rows_per_part else base.join(current, key, "left")
+    return versioned.select(
         *scope, "index", "policy", "index_seq_no", "current_seq_no", drift.alias("drift"), "enrolled", "orphan", "state",
         "step_status",
     )

@@ -188,12 +188,13 @@ def global_issues(
 # ---------------------------------------------------------------------------
 
 
-def resolved_edges(edges: DataFrame, objects: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+def resolved_edges(edges: DataFrame, objects: DataFrame, scope: Sequence[str] = (), rows_per_part: int | None = None) -> DataFrame:
     """Every reference with ``found`` and the index pattern it offers to its owner.
 
     A pattern offers itself, a search the first index pattern it refers to, even a
-    missing one. One join answers all existence checks of the report; an object that very many
-    refer to is met by several tasks.
+    missing one. One join answers all existence checks of the report. With
+    ``rows_per_part``, references to an object with more of them are dealt to several tasks,
+    at the price of counting them first; else that is left to adaptive execution.
     """
     first = (
         edges.filter((F.col("src_type") == "search") & (F.col("ref_type") == "index-pattern"))
@@ -210,7 +211,8 @@ def resolved_edges(edges: DataFrame, objects: DataFrame, scope: Sequence[str] =
             *scope, F.col("type").alias("ref_type"), F.col("id").alias("ref_id"), F.lit(True).alias("found"), offers.alias("offers")
         )
     )
-    answered = split_join(edges, targets, [*scope, "ref_type", "ref_id"])
+    key = [*scope, "ref_type", "ref_id"]
+    answered = split_join(edges, targets, key, rows_per_part=rows_per_part) if rows_per_part else edges.join(targets, key, "left")
     return answered.withColumn("found", F.coalesce("found", F.lit(False)))
 
 

@@ -1,4 +1,4 @@
-"""Where a policy gets stamped onto new indices: templates and data streams."""
+"""Templates, data streams, and the policies that new indices get through them."""
 
 from __future__ import annotations
 
@@ -67,7 +67,7 @@ def list_index_templates(
 
 
 def list_data_streams(streams: DataFrame, name_filter=None, scope: Sequence[str] = ()) -> DataFrame:
-    """Data streams with their newest backing index, the one being written to."""
+    """Data streams; ``write_index`` is the last in a stream's list of indices."""
     wanted = streams.filter(matches_any(F.col("name"), name_filter)) if name_filter else streams
     return wanted.select(
         *scope,

@@ -94,6 +94,12 @@ def broken_references(inputs):
     return R.broken_references(resolved(inputs))
 
 
+@query("broken_references_split", ("saved_objects", "object_references"), EDGES + "SELECT * FROM br")
+def broken_references_split(inputs):
+    """The same with references to much used objects dealt to several tasks."""
+    return R.broken_references(R.resolved_edges(inputs("object_references"), inputs("saved_objects"), rows_per_part=1000))
+
+
 @query("resolved_pattern", ("saved_objects", "object_references"), EDGES + "SELECT * FROM used")
 def resolved_pattern(inputs):
     return R.resolved_patterns(resolved(inputs))
