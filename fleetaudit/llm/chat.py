@@ -59,8 +59,9 @@ def windows(turns: DataFrame, budget: int = 512, history: int = 128, template: T
     the other turns are summed up; what the budget leaves beside history and system turn is
     the length of a cell, and a turn belongs to the cell in which it ends. A cell is one
     window if its turns fit, else two, parted behind the turn that began before the cell.
-    A single turn over the budget has a window of its own, whole. History is as many of the
-    turns before a window as fit ``history`` tokens.
+    A single turn over that length has a window of its own, whole. History is as many of the
+    turns before a window as fit ``history`` tokens and what the budget leaves beside the window's
+    own turns. So only a window of one turn and no history can be over the budget.
 
     Null roles and texts count as empty. Turns with equal numbers are ordered by role and
     text and none is dropped; rows without ``conv_id`` are one conversation.
@@ -77,9 +78,13 @@ def windows(turns: DataFrame, budget: int = 512, history: int = 128, template: T
     t = t.withColumn("block", F.concat("lead", "body", F.lit(template.end)))
     t = t.withColumns({
         "upto": F.sum("cost").over(so_far),
-        "room": F.greatest(F.lit(1), F.lit(budget - history) - F.coalesce(F.sum(F.when(F.col("system"), F.col("full"))).over(so_far), F.lit(0))),
+        "beside": F.lit(budget) - F.coalesce(F.sum(F.when(F.col("system"), F.col("full"))).over(so_far), F.lit(0)),
         "chars": F.sum(F.length("block")).over(so_far) - F.length("block")})
+    t = t.withColumn("room", F.greatest(F.lit(1), F.col("beside") - history))
     t = t.withColumn("start", F.col("upto") - F.col("cost"))
+    # Turns longer than a cell stand alone; they alone leave less than the whole history.
+    left = F.greatest(F.lit(0), F.least(F.lit(history), F.col("beside") - F.col("cost")))
+    t = t.withColumn("since", F.col("start") - F.when(F.col("cost") > F.col("room"), left).otherwise(history))
     t = t.withColumn("cell", F.when(F.col("system"), F.lit(0)).otherwise(F.floor((F.col("upto") - 1) / F.col("room"))))
     t = t.withColumn("astride", F.col("start") < F.col("cell") * F.col("room"))
     t = t.withColumn("overfull", F.sum("cost").over(Window.partitionBy("conv_id", "cell")) > F.col("room"))
@@ -89,14 +94,15 @@ def windows(turns: DataFrame, budget: int = 512, history: int = 128, template: T
         Window.partitionBy("conv_id").orderBy("start").rangeBetween(-history, Window.currentRow)))
     t = t.withColumn("from", F.least(F.coalesce("from", "pos"), "pos"))
 
-    one = F.struct("pos", "opens", "from", "block", "chars", F.length("lead").alias("head"), F.length("body").alias("size"),
+    one = F.struct("pos", "opens", "from", "start", "since", "block", "chars", F.length("lead").alias("head"), F.length("body").alias("size"),
                    (F.col("role") == "assistant").alias("target"), "system")
     c = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("turns"))
     c = c.withColumn("firsts", F.filter("turns", lambda x: x["opens"]))
 
     def window(first: Column, k: Column) -> Column:
         last = F.when(k + 1 < F.size("firsts"), F.get("firsts", k + 1)["pos"] - 1).otherwise(F.size("turns"))
-        begin = F.when(k == 0, F.lit(1)).otherwise(first["from"])
+        past = F.filter(F.slice("turns", first["from"], first["pos"] - first["from"]), lambda x: x["start"] >= first["since"])
+        begin = F.when(k == 0, F.lit(1)).otherwise(first["pos"] - F.size(past))
         system = F.when((k > 0) & F.get("turns", F.lit(0))["system"], F.get("turns", F.lit(0))["block"]).otherwise("")
         shown = F.slice("turns", begin, last - begin + 1)
         shift = F.length(system) - F.get("turns", begin - 1)["chars"]
@@ -152,7 +158,7 @@ WITH given AS (
 ), s AS (SELECT *, pos = 1 AND role = 'system' AS system FROM t
 ), u AS (
     SELECT *, CASE WHEN system THEN 0 ELSE whole END AS cost, sum(CASE WHEN system THEN 0 ELSE whole END) OVER o AS upto,
-        greatest(1, 512 - 128 - coalesce(sum(CASE WHEN system THEN whole END) OVER o, 0)) AS room,
+        512 - coalesce(sum(CASE WHEN system THEN whole END) OVER o, 0) AS beside, greatest(1, beside - 128) AS room,
         sum(CASE WHEN system THEN chars END) OVER o AS system_chars
     FROM s WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
 ), v AS (SELECT *, upto - cost AS start, CASE WHEN system THEN 0 ELSE (upto - 1) // room END AS cell FROM u
@@ -161,7 +167,8 @@ WITH given AS (
     SELECT *, pos = 1 OR lag(cell) OVER o <> cell OR (lag(astride) OVER o AND overfull) AS opens FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
 ), history AS (
     SELECT a.conv_id, a.pos, sum(b.chars) AS chars FROM x a JOIN x b
-    ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.pos < a.pos AND NOT b.system AND a.start - b.start <= 128 WHERE a.opens GROUP BY ALL
+    ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.pos < a.pos AND NOT b.system 
+        AND a.start - b.start <= CASE WHEN a.cost > a.room THEN greatest(0, least(128, a.beside - a.cost)) ELSE 128 END WHERE a.opens GROUP BY ALL
 )
 SELECT x.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY x.pos)) AS turns_sha256,
     coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
