@@ -93,7 +93,8 @@ def doomed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: in
     path = new_folder(spark, "lines")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     hashed_lines(docs, least_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
-    lines = spark.read.schema("doc_id bigint, text_hash bigint, pos int, h1 bigint, h2 bigint, batch int").parquet(path)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    lines = spark.read.schema(f"doc_id {id_type}, text_hash bigint, pos int, h1 bigint, h2 bigint, batch int").parquet(path)
     runs = LineRuns(spark)
     for k in range(batches):
         runs.add(lines.where(F.col("batch") == k))
@@ -136,8 +137,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text,
 ), l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d
 ), k AS (
     SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
-), f AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
-), m AS (SELECT k.*, f.key IS NOT NULL AND f.last <> k.doc_id AS gone FROM k LEFT JOIN f ON k.key = f.key)
+), f AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key
+    HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INTEGER) >= 5
+), m AS (SELECT k.*, f.key IS NOT NULL AND f.last IS DISTINCT FROM k.doc_id AS gone FROM k LEFT JOIN f ON k.key = f.key)
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, (count(*) FILTER (gone)) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r
