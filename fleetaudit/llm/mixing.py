@@ -50,15 +50,14 @@ def random_of(key: Column, seed: int = 0) -> Column:
 
 
 def with_size(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """``doc_id``, ``source``, ``size`` (words; null text: 0) and the random number ``u`` of each document."""
-    return docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), random_of(F.col("doc_id"), seed).alias("u"))
+    """``doc_id``, ``source``, ``size`` (words; null text: 0), the random number ``u`` and the hash ``tie`` of each document."""
+    return docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), random_of(F.col("doc_id"), seed).alias("u"), F.xxhash64("text").alias("tie"))
 
 
 def plan(sized: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     """Per source: ``source``, ``source_size``, ``target``, ``copies`` that each document gets for
-    certain, ``odds`` of one more, and the last document in rank order that gets it (``last``).
-
-    The last document is the one that brings the source nearest to its target.
+    certain, ``odds`` of one more, the last rank that gets it (``last``), how many documents have
+    that rank (``peers``) and how many of them get it (``take``), so that the source comes nearest to its target.
     """
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumn(
         "copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
@@ -75,17 +74,21 @@ def plan(sized: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     sums = sums.withColumn("until", F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
     cut = sums.where((F.col("until") >= F.col("left")) & (F.col("until") - F.col("words") < F.col("left"))).select(
         "source", "band", (F.col("until") - F.col("words")).alias("below"))
-    # Documents of the band, with equal ranks together, and the place where the sum is nearest.
-    inside = ranked.alias("r").join(cut.alias("c"), F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("r.band") == F.col("c.band"))).select(
-        "r.source", "rank", "size", "left", "below")
-    peers = Window.partitionBy("source").orderBy("rank").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("gap", F.abs(F.col("below") + F.sum("size").over(peers) - F.col("left")))
-    # Taking none of the band is a choice too: it ends below every rank in it.
-    inside = inside.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy("rank")))
-    none = F.when(F.col("place") == 1, F.struct(F.abs(F.col("below") - F.col("left")).alias("gap"), F.lit(0).alias("taken"), F.col("rank")))
-    options = inside.select("source", F.explode(F.array(F.struct("gap", F.lit(1).alias("taken"), "rank"), none)).alias("o")).where("o IS NOT NULL")
-    last = options.groupBy("source").agg(F.min("o").alias("o")).select(
-        F.col("source").alias("in_source"), F.col("o.rank").alias("last"), (F.col("o.taken") == 1).alias("inclusive"))
+    # The band's ranks, each once with the number of documents that have it (more than one only where ids
+    # repeat), and the place where the sum is nearest: before, behind or among a rank's documents.
+    inside = ranked.alias("r").join(cut.alias("c"), F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("r.band") == F.col("c.band")))
+    inside = inside.groupBy("r.source", "rank", "left", "below").agg(F.count(F.lit(1)).alias("peers"))
+    before = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.col("rank.size")
+    inside = inside.withColumn("reached", F.col("below") + F.coalesce(F.sum(size * F.col("peers")).over(before), F.lit(0)))
+    least = F.when(size > 0, F.floor((F.col("left") - F.col("reached")) / size)).otherwise(F.lit(0))
+
+    def option(take: Column) -> Column:
+        take = F.least(F.greatest(take, F.lit(0)), F.col("peers"))
+        return F.struct(F.abs(F.col("reached") + take * size - F.col("left")).alias("gap"), "rank", take.alias("take"), "peers")
+
+    options = inside.select("source", F.explode(F.array(option(least), option(least + 1))).alias("o"))
+    last = options.groupBy("source").agg(F.min("o").alias("o")).select(F.col("source").alias("in_source"), F.col("o.rank").alias("last"), "o.take", "o.peers")
     goal = goal.join(last, F.col("source").eqNullSafe(F.col("in_source")), "left").drop("in_source")
     return written(goal, "mix-plan")
 
@@ -99,20 +102,29 @@ def _ranked(sized: DataFrame, goal: DataFrame) -> DataFrame:
 
 
 def copies(sized: DataFrame, planned: DataFrame) -> DataFrame:
-    """``sized`` with its source's plan and ``times``, how often the mix takes the document whole."""
-    extra = (F.col("left") > 0) & ((F.col("rank") < F.col("last")) | ((F.col("rank") == F.col("last")) & F.col("inclusive")))
-    return _ranked(sized, planned).withColumn("times", F.col("copies") + F.when(extra, 1).otherwise(0))
+    """``sized`` with its source's plan and ``times``, how often the mix takes the document whole.
+
+    Of documents that share the last rank of a source (equal id and size), those with the smallest
+    ``tie`` come first; only where that rank is parted are they, and they alone, put in order.
+    """
+    ranked = _ranked(sized, planned)
+    at_last = F.coalesce((F.col("left") > 0) & (F.col("rank") == F.col("last")), F.lit(False))
+    parted = at_last & (F.col("take") > 0) & (F.col("take") < F.col("peers"))
+    whole = (F.col("left") > 0) & ((F.col("rank") < F.col("last")) | (at_last & (F.col("take") == F.col("peers"))))
+    some = F.row_number().over(Window.partitionBy("source").orderBy("tie")) <= F.col("take")
+    rows = ranked.where(~parted).withColumn("extra", whole).unionByName(ranked.where(parted).withColumn("extra", some))
+    return rows.withColumn("times", F.col("copies") + F.when(F.col("extra"), 1).otherwise(0))
 
 
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix's documents, all columns as given, each as often as it is taken.
 
-    A source's words come within half the size of one document of its target. Documents with
-    equal source, id and size are taken or left together. Null texts have size 0; documents
+    A source's words come within half the size of one document of its target, also where ids
+    repeat or are missing. Null texts have size 0; documents
     without source are a source of their own; an empty table gives an empty mix.
     """
     row = docs.select(F.struct("*").alias("row"))
-    sized = row.select("row", "row.doc_id", "row.source", word_count(F.coalesce("row.text", F.lit(""))).alias("size"), random_of(F.col("row.doc_id"), seed).alias("u"))
+    sized = row.select("row", "row.doc_id", "row.source", word_count(F.coalesce("row.text", F.lit(""))).alias("size"), random_of(F.col("row.doc_id"), seed).alias("u"), F.xxhash64("row.text").alias("tie"))
     planned = plan(written(sized.drop("row"), "mix-sizes"))
     taken = copies(sized, planned).where("times > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")
@@ -146,11 +158,12 @@ WITH sized AS (
     SELECT d.*, source_size, target, copies, rest, CASE WHEN share / (1 - share) > 0 THEN u / (1 - u) / (share / (1 - share)) ELSE 'inf'::DOUBLE END AS ord
     FROM sized d JOIN i ON d.source IS NOT DISTINCT FROM i.source
 ), c AS (
-    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY ord, u, doc_id, size) AS upto, row_number() OVER (PARTITION BY source ORDER BY ord, u, doc_id, size) AS pos FROM r
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY pos) AS upto
+    FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ord, u, doc_id NULLS FIRST, size) AS pos FROM r)
 ), o AS (
     SELECT source, pos, abs(upto - rest) AS gap FROM c WHERE rest > 0
     UNION ALL SELECT source, 0, rest FROM c WHERE rest > 0 AND pos = 1
-), b AS (SELECT source, max(pos) AS pos FROM (SELECT *, min(gap) OVER (PARTITION BY source) AS least_gap FROM o) WHERE gap = least_gap GROUP BY source)
+), b AS (SELECT source, min(pos) AS pos FROM (SELECT *, min(gap) OVER (PARTITION BY source) AS least_gap FROM o) WHERE gap = least_gap GROUP BY source)
 SELECT doc_id, size, source_size, target, (size * (copies + CASE WHEN c.pos <= b.pos THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c LEFT JOIN b ON c.source IS NOT DISTINCT FROM b.source
 """
