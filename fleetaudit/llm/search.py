@@ -84,6 +84,9 @@ def searched(batches: Iterator[pa.RecordBatch], k: int, shift: int) -> Iterator[
             low, high = bounds(queries[at : at + 128], cells, shift)
             for i in range(len(low)):
                 found, scores = best(queries[at + i], vectors, low[i], high[i], k)
+                # Every entry has a row of its own under its number, so of equal scores the k smallest numbers are enough.
+                first = np.lexsort((entries[found], -scores))[:k]
+                found, scores = found[first], scores[first]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(found), number[asks][at + i])), pa.array(entries[found]), pa.array(scores)], names=["query", "entry", "score"])
 
@@ -135,8 +138,8 @@ def top(embeddings: DataFrame, asking, k: int = TOP, shift: int = SHIFT, vectors
         entries.where("asks").withColumn("qb", block(query_blocks)).withColumn("vb", every(vector_blocks)))
     dealt = dealt.where("dim > 0").repartition(vector_blocks * query_blocks, "dim", "qb", "vb").sortWithinPartitions("dim", "qb", "vb")
     found = dealt.mapInArrow(lambda batches: searched(batches, k + 1, shift), "query bigint, entry bigint, score bigint")
-    # The blocks' best entries, then their rows: entries tied with the kth score can all matter.
-    place = F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    # The blocks' best entries, then their rows.
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "entry"))
     found = found.withColumn("place", place).where(F.col("place") <= k + 1).drop("place")
     ids = members.join(first, "same").select("entry", "vec_id")
     inside = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
