@@ -56,8 +56,7 @@ def test_odd_documents_against_sql(spark, docs):
     checked(spark, quality_rules.report(docs), "op3_quality_rules", documents=docs)
     checked(spark, licenses.report(docs), "op5_licenses", documents=docs)
     checked(spark, mixing.report(docs), "op7_mixing", documents=docs)
-    one = docs.where("doc_id IS NOT NULL")
-    checked(spark, line_dedup.digests(one), "op6_line_dedup", documents=one)
+    checked(spark, line_dedup.digests(docs), "op6_line_dedup", documents=docs)
 
 
 def test_empty_tables(spark, docs, labels):
