@@ -1,10 +1,13 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 A source whose target exceeds its size gives each document as many whole copies as all can
-have. For what is left, its documents are ranked by the odds of a random number over the
-odds of being included, and taken in that order until the source's words are reached. No
-source is ever sorted in one place: words are summed per narrow band of ranks, and only the
-band in which the target falls is put in order.
+have. For what is left, a document's odds of being included grow with its size: it is
+included with a probability in proportion to its words, such that the words expected are
+those left to take. Documents whose probability would reach one are certain and get their
+copy first. All others are ranked by the odds of a random number over their own odds, and
+taken in that order until the source's words are reached. No source is ever sorted in one
+place: words are summed per narrow band of ranks, and only the band in which the target
+falls is put in order.
 """
 
 from __future__ import annotations
@@ -54,21 +57,50 @@ def with_size(docs: DataFrame, seed: int = 0) -> DataFrame:
     return docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), random_of(F.col("doc_id"), seed).alias("u"), F.xxhash64("text").alias("tie"))
 
 
+def rates(sized: DataFrame, goal: DataFrame) -> DataFrame:
+    """Per source with words ``left``: ``rate``, a document's chance of inclusion per word, ``sure_from``, the size
+    from which documents are certain (null: none is), and ``sure``, the words of those.
+
+    With the largest sizes certain, the words still left over the sum of squares of all smaller
+    sizes give the rate; it holds at the largest size that it leaves below one. Each source's
+    distinct sizes are sorted, and their number grows with the root of its words at most.
+    """
+    g = goal.select(F.col("source").alias("of_source"), "left")
+    sizes = sized.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.join(g, F.col("source").eqNullSafe(F.col("of_source"))).where("left > 0")
+    larger = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    smaller = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.col("size").cast("decimal(19,0)")
+    sizes = sizes.withColumns({
+        "sure": F.coalesce(F.sum(F.col("size") * F.col("n")).over(larger), F.lit(0)), "sure_from": F.min("size").over(larger),
+        "squares": F.sum((size * F.col("size") * F.col("n")).cast("decimal(38,0)")).over(smaller)})
+    sizes = sizes.withColumn("rate", (F.col("left") - F.col("sure")) / F.col("squares").cast("double"))
+    able = sizes.where(F.col("rate") * F.col("size") < 1)
+    return able.groupBy("of_source").agg(F.max_by(F.struct("rate", "sure_from", "sure"), "size").alias("r")).select("of_source", "r.*")
+
+
 def plan(sized: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     """Per source: ``source``, ``source_size``, ``target``, ``copies`` that each document gets for
-    certain, ``odds`` of one more, the last rank that gets it (``last``), how many documents have
+    certain, the ``rate`` of one more and the size ``sure_from`` which that one is certain too, the words ``left``
+    for the others, the last rank that gets it (``last``), how many documents have
     that rank (``peers``) and how many of them get it (``take``), so that the source comes nearest to its target.
     """
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumn(
         "copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     goal = goal.withColumn("copies", F.least("copies", F.lit(most)))
-    left = F.col("target") - F.col("copies") * F.col("source_size")
-    share = F.when(F.col("source_size") > 0, left / F.col("source_size")).otherwise(F.lit(0.0))
-    goal = written(goal.withColumns({"left": left, "odds": share / (1 - share)}), "mix-goals")
-
-    ranked = _ranked(sized, goal).where("left > 0")
+    goal = written(goal.withColumn("left", F.col("target") - F.col("copies") * F.col("source_size")), "mix-targets")
+    rate = rates(sized, goal)
+    goal = goal.join(rate, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
+    # Where rounding leaves no size below one, all documents are certain.
+    full = (F.col("left") > 0) & F.col("rate").isNull()
+    goal = goal.withColumns({
+        "sure_from": F.when(full, F.lit(1)).otherwise(F.col("sure_from")), "rate": F.coalesce("rate", F.lit(0.0)),
+        "left": F.when(full, F.lit(0.0)).otherwise(F.col("left") - F.coalesce("sure", F.lit(0)))})
+    goal = written(goal.drop("sure"), "mix-goals")
+
+    ranked = _ranked(sized, goal).where("left > 0 and not certain")
     bands = F.ceil(F.sqrt(F.lit(sized.count() + 1.0)))  # so many bands, and so many documents in one
-    ranked = ranked.withColumn("band", F.floor(F.col("rank.order") / (1 + F.col("rank.order")) * bands))
+    ranked = ranked.withColumn("band", F.floor(F.col("rank.order") * bands))
     in_order = Window.partitionBy("source").orderBy("band")
     sums = ranked.groupBy("source", "band").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
     sums = sums.withColumn("until", F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -94,11 +126,17 @@ def plan(sized: DataFrame, most: int = MOST_COPIES) -> DataFrame:
 
 
 def _ranked(sized: DataFrame, goal: DataFrame) -> DataFrame:
-    """Documents with their source's row of ``goal`` and their ``rank``: Pareto order, then the random number, id and size."""
-    order = F.when(F.col("odds") > 0, F.col("u") / (1 - F.col("u")) / F.col("odds")).otherwise(F.lit(float("inf")))
+    """Documents with their source's row of ``goal``, whether one more copy is ``certain``, and their ``rank``.
+
+    The rank is the Pareto order, then the random number, id and size. The order ``x`` (random
+    odds over inclusion odds) stands as ``x / (1 + x)``: from 0 to 1, and 1 for documents without words.
+    """
+    chance = F.col("rate") * F.col("size")
+    before, behind = F.col("u") * (1 - chance), (1 - F.col("u")) * chance
     g = goal.withColumnRenamed("source", "of_source")
-    return sized.join(g, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source").withColumn(
-        "rank", F.struct(order.alias("order"), "u", "doc_id", "size"))
+    return sized.join(g, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source").withColumns({
+        "certain": F.coalesce(F.col("size") >= F.col("sure_from"), F.lit(False)),
+        "rank": F.struct((before / (before + behind)).alias("order"), "u", "doc_id", "size")})
 
 
 def copies(sized: DataFrame, planned: DataFrame) -> DataFrame:
@@ -108,9 +146,10 @@ def copies(sized: DataFrame, planned: DataFrame) -> DataFrame:
     ``tie`` come first; only where that rank is parted are they, and they alone, put in order.
     """
     ranked = _ranked(sized, planned)
-    at_last = F.coalesce((F.col("left") > 0) & (F.col("rank") == F.col("last")), F.lit(False))
+    open_ = (F.col("left") > 0) & ~F.col("certain")
+    at_last = F.coalesce(open_ & (F.col("rank") == F.col("last")), F.lit(False))
     parted = at_last & (F.col("take") > 0) & (F.col("take") < F.col("peers"))
-    whole = (F.col("left") > 0) & ((F.col("rank") < F.col("last")) | (at_last & (F.col("take") == F.col("peers"))))
+    whole = F.col("certain") | open_ & ((F.col("rank") < F.col("last")) | (at_last & (F.col("take") == F.col("peers"))))
     some = F.row_number().over(Window.partitionBy("source").orderBy("tie")) <= F.col("take")
     rows = ranked.where(~parted).withColumn("extra", whole).unionByName(ranked.where(parted).withColumn("extra", some))
     return rows.withColumn("times", F.col("copies") + F.when(F.col("extra"), 1).otherwise(0))
@@ -153,17 +192,31 @@ WITH sized AS (
 ), h AS (
     SELECT *, CASE WHEN source_size > 0 THEN least(2, floor(target / source_size))::BIGINT ELSE 0 END AS copies FROM g
 ), i AS (
-    SELECT *, target - copies * source_size AS rest, CASE WHEN source_size > 0 THEN (target - copies * source_size) / source_size ELSE 0 END AS share FROM h
+    SELECT *, target - copies * source_size AS rest FROM h
+), z AS (SELECT source, size, count(*) AS n FROM sized WHERE size > 0 GROUP BY source, size
+), y AS (
+    SELECT z.*, i.rest, coalesce(sum(size * n) OVER b, 0) AS sure, min(size) OVER b AS sure_from, sum(size::HUGEINT * size * n) OVER (PARTITION BY z.source ORDER BY size) AS squares
+    FROM z JOIN i ON z.source IS NOT DISTINCT FROM i.source WHERE i.rest > 0
+    WINDOW b AS (PARTITION BY z.source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), x AS (SELECT *, (rest - sure) / squares::DOUBLE AS rate FROM y
+), a AS (SELECT source, max(size) AS size FROM x WHERE rate * size < 1 GROUP BY source
+), e AS (SELECT x.source, x.rate, x.sure, x.sure_from FROM x JOIN a ON x.source IS NOT DISTINCT FROM a.source AND x.size = a.size
+), q AS (
+    SELECT i.source, i.source_size, i.target, i.copies, coalesce(e.rate, 0) AS rate, CASE WHEN i.rest > 0 AND e.rate IS NULL THEN 1 ELSE e.sure_from END AS sure_from,
+        CASE WHEN i.rest > 0 AND e.rate IS NULL THEN 0 ELSE i.rest - coalesce(e.sure, 0) END AS rest
+    FROM i LEFT JOIN e ON i.source IS NOT DISTINCT FROM e.source
 ), r AS (
-    SELECT d.*, source_size, target, copies, rest, CASE WHEN share / (1 - share) > 0 THEN u / (1 - u) / (share / (1 - share)) ELSE 'inf'::DOUBLE END AS ord
-    FROM sized d JOIN i ON d.source IS NOT DISTINCT FROM i.source
+    SELECT d.*, source_size, target, copies, rest, coalesce(d.size >= sure_from, false) AS certain,
+        u * (1 - rate * d.size) / (u * (1 - rate * d.size) + (1 - u) * (rate * d.size)) AS ord
+    FROM sized d JOIN q ON d.source IS NOT DISTINCT FROM q.source
 ), c AS (
     SELECT *, sum(size) OVER (PARTITION BY source ORDER BY pos) AS upto
-    FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ord, u, doc_id NULLS FIRST, size) AS pos FROM r)
+    FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ord, u, doc_id NULLS FIRST, size) AS pos FROM r WHERE NOT certain)
 ), o AS (
     SELECT source, pos, abs(upto - rest) AS gap FROM c WHERE rest > 0
     UNION ALL SELECT source, 0, rest FROM c WHERE rest > 0 AND pos = 1
 ), b AS (SELECT source, min(pos) AS pos FROM (SELECT *, min(gap) OVER (PARTITION BY source) AS least_gap FROM o) WHERE gap = least_gap GROUP BY source)
 SELECT doc_id, size, source_size, target, (size * (copies + CASE WHEN c.pos <= b.pos THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c LEFT JOIN b ON c.source IS NOT DISTINCT FROM b.source
+UNION ALL SELECT doc_id, size, source_size, target, (size * (copies + 1))::BIGINT FROM r WHERE certain
 """

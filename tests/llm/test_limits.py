@@ -58,6 +58,23 @@ def test_repeated_ids_are_mixed_to_the_target(spark, ident, same_text):
     checked(spark, mixing.report(docs), "op7_mixing", documents=docs)
 
 
+def test_odds_grow_with_size(spark):
+    """Two sources: one with few documents that hold most words, whose odds are certain, one of short and long documents."""
+    sizes = [(i, n, "skewed") for i, n in enumerate([5000, 4000, 900] + [10] * 300)]
+    sizes += [(1000 + i, 30 if i % 2 else 10, "plain") for i in range(2000)] + [(9000 + i, 0, "plain") for i in range(5)]
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), s) for i, n, s in sizes], "doc_id bigint, text string, source string")
+    got = mixing.report(docs).collect()
+    for source_size, low, high, near in ((12900, 5000, 10, 450), (40000, 30, 10, 15)):
+        mine = [r for r in got if r.source_size == source_size]
+        share = {n: sum(r.taken for r in mine if r.size == n) / sum(r.size for r in mine if r.size == n) for n in (low, high)}
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= near
+        assert all(0 <= r.taken <= 2 * r.size for r in mine) and share[low] > share[high]
+        whole = int(mine[0].target // source_size)
+        extra = sum(r.taken > whole * r.size for r in mine if r.size == low) / sum(r.size == low for r in mine)
+        assert extra == 1 if low == 5000 else 1.5 < extra / (share[high] - whole) < 6
+    checked(spark, mixing.report(docs), "op7_mixing", documents=docs)
+
+
 def test_ids_of_other_types(spark):
     rows = [(f"d{i}", f"{LINE}\nown {i}") for i in range(6)] + [(None, LINE), (None, LINE)]
     docs = spark.createDataFrame(rows, "doc_id string, text string")
