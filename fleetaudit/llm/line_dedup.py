@@ -1,10 +1,12 @@
 """Dropping lines that repeat across documents, with an index of line hashes in levelled sorted runs.
 
-A run is a table of line hashes, each once and in order, with the number of documents that
-hold it and the largest of their ids. A new batch is reduced to a run of its own and
-joined against the runs there are: hashes that none of them holds are new. When a level has
-as many runs as its fan-out, they are merged into one run of the next level, so a hash is
-rewritten once per level and a batch meets few runs.
+A run is a table of line hashes, each once, in buckets by hash and in order within them, with
+the number of documents that held it when it came and the largest of their ids. A new batch is
+reduced to one row per hash and anti-joined with the runs there are: hashes that none of them
+holds become a run of their own, and only the others, few in most corpora, leave a row of what
+they add. A hash therefore lies in one run. When a level has as many runs as its fan-out, they
+are merged into one run of the next level, so a hash is rewritten once per level and a batch
+meets few runs. Runs are bucketed alike, so that no join shuffles them again.
 """
 
 from __future__ import annotations
@@ -36,51 +38,71 @@ def hashed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """The index: a list of runs per level, each a table in the shared folder."""
+    """The index: a list of runs per level, each a bucketed table in the shared folder, and what later batches add to their hashes."""
 
     def __init__(self, spark: SparkSession, fan_out: int = FAN_OUT):
         self.spark, self.fan_out = spark, fan_out
         self.folder = new_folder(spark, "line-runs")
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.added: list[DataFrame] = []
         self._made = 0
 
     def _write(self, rows: DataFrame, level: int) -> None:
         self._made += 1
         path = f"{self.folder}/level{level}-run{self._made}"
-        rows.sortWithinPartitions(*HASH).write.parquet(path)
+        name = "line_run_" + "".join(c for c in path.rsplit("line-runs-", 1)[1] if c.isalnum())
+        rows = rows.repartition(self.buckets, *HASH)
+        rows.write.format("parquet").option("path", path).bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(name)
         if len(self.levels[level]) >= self.fan_out:
-            merged, self.levels[level] = self._summed(self.levels[level]), []
-            self._write(merged, level + 1)
+            whole, self.levels[level] = self.levels[level], []
+            self._write(reduce(DataFrame.unionAll, map(self.spark.table, whole)), level + 1)
+            self._forget(whole)
 
-    def _summed(self, paths: list[str]) -> DataFrame:
-        rows = self.spark.read.parquet(*paths)
-        return rows.groupBy(*HASH).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    def _forget(self, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE {name}")
 
     @property
-    def paths(self) -> list[str]:
-        return [path for level in self.levels for path in level]
+    def runs(self) -> list[str]:
+        return [name for level in self.levels for name in level]
 
-    def unseen(self, lines: DataFrame) -> DataFrame:
-        """The rows of ``lines`` whose hash no run holds."""
-        return reduce(lambda rows, path: rows.join(self.spark.read.parquet(path), list(HASH), "left_anti"), self.paths, lines)
+    def unseen(self, rows: DataFrame) -> DataFrame:
+        """The rows whose hash no run holds."""
+        return reduce(lambda left, name: left.join(self.spark.table(name), list(HASH), "left_anti"), self.runs, rows)
 
-    def add(self, lines: DataFrame) -> None:
-        """Adds a batch (``doc_id`` and hash; all rows of a document in one batch) as a run."""
+    def add(self, lines: DataFrame) -> DataFrame:
+        """Adds a batch (``doc_id`` and hash; all rows of a document in one batch); returns the rows of the hashes that are new."""
         once = lines.select(*HASH, "doc_id").distinct()
-        self._write(once.groupBy(*HASH).agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last")), 0)
+        rows = written(once.groupBy(*HASH).agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last")), "line-batch")
+        known = bool(self.runs)
+        fresh = written(self.unseen(rows), "line-fresh") if known else rows
+        if known:
+            # A hash that isn't new is in some run, and what it adds there is kept aside until it is asked for.
+            self.added.append(written(rows.join(fresh, list(HASH), "left_anti"), "line-again"))
+        self._write(fresh, 0)
+        return fresh
 
     def frequent(self, least_docs: int = LEAST_DOCS) -> DataFrame:
         """Hashes that at least so many documents hold, with the largest of their ids."""
-        return self._summed(self.paths).where(F.col("docs") >= least_docs).select(*HASH, "last")
+        rows = reduce(DataFrame.unionAll, map(self.spark.table, self.runs))
+        if self.added:
+            more = reduce(DataFrame.unionAll, self.added).groupBy(*HASH).agg(F.sum("docs").alias("more"), F.max("last").alias("later"))
+            rows = rows.join(more, list(HASH), "left").select(
+                *HASH, (F.col("docs") + F.coalesce("more", F.lit(0))).alias("docs"), F.greatest("last", "later").alias("last"))
+        return rows.where(F.col("docs") >= least_docs).select(*HASH, "last")
 
     def first_seen(self, lines: DataFrame) -> DataFrame:
         """Online use: the batch's lines that are new to the index, which then holds them too."""
-        fresh = written(self.unseen(lines), "line-batch")
-        self.add(lines)
-        return fresh
+        return lines.join(self.add(lines).select(*HASH), list(HASH), "left_semi")
+
+    def close(self) -> None:
+        """Takes the runs out of the session's catalog; their files stay in the shared folder."""
+        self._forget(self.runs)
+        self.levels = []
 
 
 def doomed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES) -> DataFrame:
@@ -99,6 +121,7 @@ def doomed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: in
     for k in range(batches):
         runs.add(lines.where(F.col("batch") == k))
     frequent = written(runs.frequent(least_docs), "frequent-lines")
+    runs.close()
     repeats = lines.join(frequent, list(HASH)).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     return repeats.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
 
