@@ -12,9 +12,8 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import ahocorasick
 import pyarrow as pa
 import regex
 from public_tokenizers import PATTERN
@@ -23,9 +22,11 @@ from pyspark.sql import functions as F
 
 from fleetaudit.llm.common import text_or_empty
 
-#: Pieces whose packed ids a task remembers, and neighbouring pairs whose fit it remembers.
+#: Pieces whose packed ids a Python worker remembers, and neighbouring pairs whose fit it remembers.
 REMEMBERED_PIECES = 400_000
 REMEMBERED_PAIRS = 1_000_000
+#: Characters of texts that are encoded together; a longer text is taken by itself.
+TOGETHER = 4_000_000
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -42,12 +43,11 @@ class PrefixCoder:
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(self.sizes.values())
         self.never = max(self.tokens) + 1
-        #: Finds, for each place in a text, the tokens that end there, longest first.
-        self.endings = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.endings.add_word(token.decode("latin-1"), rank)
-        self.endings.make_automaton()
-        self._fit: dict[tuple[int, int], bool] = {}
+        #: By what tokens begin with: the tokens that end it, longest first, with size and ``_fit``, once they were asked for.
+        self.heads: dict[bytes, tuple[tuple[int, int, dict[int, bool]], ...] | None] = dict.fromkeys(token[:n] for token in ranks for n in range(1, len(token) + 1))
+        #: By token: does it fit behind others?
+        self._fit: dict[int, dict[int, bool]] = {rank: {} for rank in self.tokens}
+        self._pairs = 0
         self._parts: dict[int, tuple[int, ...]] = {}
         self._edges: dict[tuple[int, int], list[int]] = {}
 
@@ -84,16 +84,19 @@ class PrefixCoder:
         return known
 
     def fits(self, left: int, right: int) -> bool:
-        """Are the two tokens the encoding of their joint bytes?
+        """Are the two tokens the encoding of their joint bytes? With -1 on the left: is the other one that of its own?
 
         Both are put together in order of rank. They come out whole unless, at some moment,
         what stands on either side of the border would be merged first.
         """
-        known = self._fit.get((left, right))
+        known = self._fit[right].get(left)
         if known is None:
-            if len(self._fit) >= REMEMBERED_PAIRS:
-                self._fit.clear()
-            known = self._fit[left, right] = self._apart(self.edge(left, 1), self.edge(right, 0))
+            if self._pairs >= REMEMBERED_PAIRS:
+                self._pairs = 0
+                for behind in self._fit.values():
+                    behind.clear()
+            self._pairs += 1
+            known = self._fit[right][left] = self._apart(self.edge(left, 1), self.edge(right, 0)) if left >= 0 else bool(self.parts(right))
         return known
 
     def _apart(self, ends: list[int], starts: list[int]) -> bool:
@@ -116,19 +119,30 @@ class PrefixCoder:
 
         The entries there are stay valid whatever is appended.
         """
-        at = max(0, len(table) - self.longest)
-        self._fill(data, table, at, len(data))
+        self._fill(data, table, [max(0, len(table) - self.longest)], len(data))
         return table
 
-    def _fill(self, data: bytes, table: list[int], start: int, stop: int) -> None:
-        """Entries up to ``stop``; no token that ends behind the table begins before ``start``."""
-        sizes, fits = self.sizes, self.fits
-        for last, token in self.endings.iter(data[start:stop].decode("latin-1")):
-            end = start + last + 1
-            if end == len(table):
-                before = table[end - sizes[token]]
-                if fits(before, token) if before >= 0 else self.parts(token):
+    def _fill(self, data: bytes, table: list[int], starts: list[int], stop: int) -> None:
+        """Entries up to ``stop``. No token that ends behind the table begins before the last of ``starts``, which grows along.
+
+        A token that ends somewhere also ends the longest text there that tokens begin with.
+        Where that one begins only moves on, so a byte takes two lookups, however long tokens are.
+        """
+        heads, at = self.heads, starts[-1]
+        for end in range(len(table), stop + 1):
+            while (head := data[at:end]) not in heads:
+                at += 1
+            starts.append(at)
+            for size, token, fit in heads[head] or self._endings(head):
+                known = fit.get(table[end - size])
+                if known or known is None and self.fits(table[end - size], token):
                     table.append(token)
+                    break
+
+    def _endings(self, head: bytes) -> tuple[tuple[int, int, dict[int, bool]], ...]:
+        ends = [self.ranks.get(head[at:]) for at in range(len(head))]
+        found = self.heads[head] = tuple((self.sizes[token], token, self._fit[token]) for token in ends if token is not None)
+        return found
 
     def edited(self, data: bytes, table: list[int], start: int, stop: int, put: bytes) -> tuple[bytes, list[int], int]:
         """``data[start:stop]`` replaced by ``put``: the new bytes, their table, and how many entries had to be computed.
@@ -140,7 +154,7 @@ class PrefixCoder:
         fresh, agreed = table[: start + 1], 0
         while len(fresh) <= len(new):
             done = len(fresh)
-            self._fill(new, fresh, max(0, done - self.longest), min(len(new), done - 1 + self.longest))
+            self._fill(new, fresh, [max(0, done - self.longest)], min(len(new), done - 1 + self.longest))
             for end in range(done, len(fresh)):
                 agreed = agreed + 1 if end - shift > stop and fresh[end] == table[end - shift] else 0
                 if agreed >= self.longest:
@@ -155,10 +169,27 @@ class PrefixCoder:
             end -= self.sizes[table[end]]
         return ids[::-1]
 
-    def piece(self, piece: bytes) -> list[int]:
-        """A match of the splitting pattern: one token if it is in the vocabulary, else by the table."""
-        known = self.ranks.get(piece)
-        return [known] if known is not None else self.read(self.extend(piece, [-1]))
+    def pieces(self, pieces: Iterable[bytes]) -> Iterator[list[int]]:
+        """Encodings of matches of the splitting pattern: one token if it is in the vocabulary, else by the table.
+
+        The table goes on from match to match, less what is not a prefix of the next one. In
+        ascending order most of it stays.
+        """
+        table, starts, last = [-1], [0], b""
+        for piece in pieces:
+            known = self.ranks.get(piece)
+            if known is not None:
+                yield [known]
+                continue
+            same = 0
+            for a, b in zip(piece, last):
+                if a != b:
+                    break
+                same += 1
+            del table[same + 1 :], starts[same + 1 :]
+            self._fill(piece, table, starts, len(piece))
+            yield self.read(table)
+            last = piece
 
 
 class TextCoder:
@@ -166,44 +197,61 @@ class TextCoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.coder, self.split = PrefixCoder(ranks), regex.compile(pattern, regex.VERSION1)
-        coder = self.coder
-
-        class Packed(dict):
-            def __missing__(self, piece):
-                if len(self) >= REMEMBERED_PIECES:
-                    self.clear()
-                found = self[piece] = array("I", coder.piece(piece.encode())).tobytes()
-                return found
-
-        self.packed = packed = Packed()
-        split = self.split
-
-        class Spaced(dict):
-            """Ids of a run without spaces, with the one space before it; None if it is empty or has white space at an end."""
-
-            def __missing__(self, run):
-                if len(self) >= REMEMBERED_PIECES:
-                    self.clear()
-                found = self[run] = b"".join(map(packed.__getitem__, split.findall(" " + run))) if run and run == run.strip() else None
-                return found
-
-        self.spaced = Spaced()
+        #: Ids by match.
+        self.packed: dict[str, bytes] = {}
+        #: Ids of a run without spaces, with the one space before it; None if it is empty or has white space at an end.
+        self.spaced: dict[str, bytes | None] = {}
+        self.tokens = pa.array([self.coder.tokens.get(rank, b"") for rank in range(self.coder.never)], pa.large_binary())
+
+    def learn(self, matches: Iterable[str]) -> None:
+        """The ids of these matches are in ``packed`` afterwards."""
+        new = sorted(set(matches).difference(self.packed))
+        for match, ids in zip(new, self.coder.pieces(map(str.encode, new))):
+            self.packed[match] = array("I", ids).tobytes()
+
+    def learn_runs(self, runs: set[str]) -> None:
+        """The runs are in ``spaced`` afterwards. They are split as one text, in which each begins with its space."""
+        new = runs.difference(self.spaced)
+        whole = [run for run in new if run and run == run.strip()]
+        self.spaced.update(dict.fromkeys(new))
+        matches = self.split.findall(" " + " ".join(whole)) if whole else []
+        self.learn(matches)
+        ids = list(map(self.packed.__getitem__, matches))
+        starts = [i for i, match in enumerate(matches) if match[0] == " "]
+        for run, start, stop in zip(whole, starts, [*starts, len(ids)][1:], strict=True):
+            self.spaced[run] = ids[start] if stop - start == 1 else b"".join(ids[start:stop])
 
     def encode(self, text: str) -> bytes:
-        """Token ids as little-endian unsigned 32-bit integers.
+        """Token ids as little-endian unsigned 32-bit integers."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each text. What was not met before is encoded once for all of them, in order.
 
         No match spans a single space between two characters that aren't white space, and one
         begins there; such texts are looked up run by run. Others are split as a whole.
         """
-        first, *rest = text.split(" ")
-        if first and first == first.strip():
-            found = list(map(self.spaced.__getitem__, rest))
-            if None not in found:
-                return b"".join(map(self.packed.__getitem__, self.split.findall(first))) + b"".join(found)
-        return b"".join(map(self.packed.__getitem__, self.split.findall(text)))
+        for remembered in (self.packed, self.spaced):
+            if len(remembered) >= REMEMBERED_PIECES:
+                remembered.clear()
+        self.learn_runs(set().union(*(text.split(" ")[1:] for text in texts)))
+        found, split = [], []
+        for text in texts:
+            first, *rest = text.split(" ")
+            ids = list(map(self.spaced.__getitem__, rest))
+            by_run = first and first == first.strip() and None not in ids
+            found.append(b"".join(ids) if by_run else b"")
+            split.append(self.split.findall(first if by_run else text))
+        self.learn(match for matches in split for match in matches)
+        return [b"".join(map(self.packed.__getitem__, matches)) + ids for matches, ids in zip(split, found)]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.coder.tokens.__getitem__, memoryview(ids).cast("I")))
+        if not ids:
+            return b""
+        places = pa.Array.from_buffers(pa.uint32(), len(ids) // 4, [None, pa.py_buffer(ids)])
+        taken = self.tokens.take(places)
+        start, stop = memoryview(taken.buffers()[1]).cast("q")[: len(places) + 1 : len(places)]
+        return taken.buffers()[2][start:stop].to_pybytes()
 
     def edited(self, text: str, start: int, stop: int, put: str) -> tuple[str, bytes, int]:
         """``text[start:stop]`` replaced by ``put``: the new text, its ids, and how many pieces were encoded anew.
@@ -228,29 +276,43 @@ class TextCoder:
         else:
             tail = []
         pieces = [m.group() for m in old[:keep]] + middle + tail
+        self.learn(pieces)
         return new, b"".join(map(self.packed.__getitem__, pieces)), len(middle)
 
 
+def together(texts: Iterable[str], size: int = TOGETHER) -> Iterator[list[str]]:
+    """The texts in groups of about as many characters."""
+    group, held = [], 0
+    for text in texts:
+        if group and held + len(text) > size:
+            yield group
+            group, held = [], 0
+        group.append(text)
+        held += len(text)
+    if group:
+        yield group
+
+
 def encoder(spark: SparkSession, ranks_path: str) -> Column:
     """A function of a text column: struct of ``n_tokens``, ``ids`` (packed) and ``decoded`` bytes.
 
     The rank file is read by the driver and sent to the executors; its size is that of the
-    vocabulary, whatever the corpus.
+    vocabulary, whatever the corpus. A Python worker keeps what it was sent, and with it the
+    coder it made, for its later tasks.
     """
     with open(ranks_path, "rb") as file:
-        content = spark.sparkContext.broadcast(file.read())
-
-    kind = pa.struct([("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
+        sent = spark.sparkContext.broadcast({"ranks": file.read()})
 
     @F.arrow_udf("n_tokens bigint, ids binary, decoded binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = TextCoder(parse_ranks(content.value))
+        kept = sent.value
+        if "coder" not in kept:
+            kept["coder"] = TextCoder(parse_ranks(kept["ranks"]))
+        coder = kept["coder"]
         for texts in batches:
-            rows = []
-            for text in texts:
-                ids = coder.encode(text.as_py())
-                rows.append({"n_tokens": len(ids) // 4, "ids": ids, "decoded": coder.decode(ids)})
-            yield pa.array(rows, kind)
+            ids = [found for group in together(text.as_py() for text in texts) for found in coder.encode_all(group)]
+            columns = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(map(coder.decode, ids), pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["n_tokens", "ids", "decoded"])
 
     return encode
 

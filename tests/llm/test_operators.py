@@ -92,6 +92,51 @@ def test_bpe_is_that_of_the_library(spark, docs):
         assert edited == coder.coder.extend(changed, [-1])
 
 
+def test_bpe_texts_taken_together(spark):
+    with open(RANKS, "rb") as file:
+        ranks = bpe.parse_ranks(file.read())
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r, coder = random.Random(3), bpe.TextCoder(ranks)
+    parts = ["a", "The", "tion", " ", " ", "  ", "\n", "\t ", "\xa0", "\u2028", "\x1c", "\x00", "é", "e\u0301", "日本", "²", "1", "!!", "'s", "<|endoftext|>", "=" * 70, "z" * 300]
+    texts = ["", " ", *("".join(r.choice(parts) for _ in range(r.randint(0, 40))) for _ in range(3000))]
+    groups = list(bpe.together(texts, 500))
+    assert [t for g in groups for t in g] == texts and len(groups) > 10 and not list(bpe.together([]))
+    got = [ids for g in groups for ids in coder.encode_all(g)]
+    assert [list(memoryview(ids).cast("I")) for ids in got] == library.encode_ordinary_batch(texts)
+    assert [coder.decode(ids) for ids in got] == [t.encode() for t in texts] and coder.encode_all([]) == []
+
+
+def test_bpe_work_is_shared(spark, tmp_path):
+    with open(RANKS, "rb") as file:
+        ranks = bpe.parse_ranks(file.read())
+    coder, asked = bpe.PrefixCoder(ranks), 0
+
+    class Heads(dict):
+        def __contains__(self, head):
+            nonlocal asked
+            asked += 1
+            return super().__contains__(head)
+
+    coder.heads = Heads(coder.heads)
+    long = b"interchangeably" * 40
+    pieces = sorted(long + bytes([a, b]) for a in range(97, 107) for b in range(97, 107))
+    assert list(coder.pieces(pieces)) == [coder.merged(p) for p in pieces]
+    assert asked <= 2 * len(long) + 10 * 100  # each table anew would ask 100 times as often
+    parse, log = bpe.parse_ranks, tmp_path / "coders"
+    docs = spark.range(64).selectExpr("id AS doc_id", "'some words' AS text").repartition(16)
+
+    def counted(content):
+        with open(log, "a") as file:
+            file.write(f"{os.getpid()}\n")
+        return parse(content)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bpe, "parse_ranks", counted)
+        assert {tuple(row)[1] for row in bpe.digests(docs, RANKS).collect()} == {len(bpe.TextCoder(ranks).encode("some words")) // 4}
+    makers = log.read_text().split()
+    assert len(makers) == len(set(makers)) < 16  # one coder for each Python worker, not for each of the 16 tasks
+
+
 def test_simhash_against_all_pairs(spark, docs):
     got = simhash.report(docs).collect()
     prints = {(d, t): simhash.fingerprint(t or "") for d, t, *_ in rows()}
