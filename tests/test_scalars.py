@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from fleetaudit.functions import scalars as S
+from fleetaudit.plans import catalog
 
 
 def _rows(spark, values, schema="v bigint"):
@@ -26,6 +27,18 @@ def test_size_text_agrees_with_python_formatting(spark):
     assert all(r.t == _python_size(r.v) for r in out)
 
 
+def test_number_texts_beyond_64_bits(spark, tmp_path):
+    """Keys whose product needs more than 64 bits, or more than 38 digits, have a size too; ones that fit keep theirs."""
+    keys = [(1, 2, 3), (149_999, 19_999, 999), (8_999_999, 1_199_999, 59_999), (1, 2**61, 7), (None, 5, 1), (5, 5, None)]
+    rows = [(*k, n) for n, k in enumerate(keys)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    expected = {n: _python_size(float(i * p * p * 1021 + s)) if None not in (i, p, s) else None for i, p, s, n in rows}
+    got = {r.l_linenumber: r.size for r in catalog.QUERIES["number_texts"](spark, str(tmp_path)).collect()}
+    del expected[3]  # has more digits than a double holds
+    assert float(got.pop(3).removesuffix("PB")) == float(1021 * 2**122 + 7) / 2**50
+    assert got == expected
+
+
 def test_duration_text(spark):
     cases = {
         None: "-", -5: "-5ms", 0: "0ms", 999: "999ms", 1000: "1.0s", 4250: "4.2s", 4350: "4.3s", 59_999: "60.0s",
