@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from fleetaudit.operators.globjoin import ANCHOR, _anchored_names, anchored_patterns, covered_patterns, glob_pairs
+from fleetaudit.operators.globjoin import ANCHOR, _anchored_names, _settled, anchored_patterns, covered_patterns, glob_pairs
 from tests.test_globs import NAMES, _patterns
 
 
@@ -61,3 +61,27 @@ def test_common_head_makes_no_candidates(spark):
     anchored = anchored_patterns(p, "pattern")
     met = _anchored_names(n, anchored, ()).join(anchored, list(ANCHOR)).count()
     assert met == glob_pairs(p, n).count() == 2000
+
+
+def test_runs_at_a_known_place_make_no_other_candidates(spark):
+    """A number ahead of a last ``?`` or behind several ``*`` meets only names that have it there, however many hold it elsewhere."""
+    number = F.col("id").cast("string")
+    p = spark.range(1000, 1300).select(F.explode(F.array(F.concat(F.lit("Customer*"), number, F.lit("?")), F.concat(F.lit("[!a-z]*#*"), number))).alias("pattern"))
+    n = spark.range(100_000, 103_000).select(F.concat(F.lit("Customer#"), F.col("id").cast("string"), F.col("id").cast("string")).alias("name"))
+    settled = _settled(anchored_patterns(p, "pattern"), n, (), 10**6)
+    met = _anchored_names(n, settled, ()).join(settled, list(ANCHOR)).count()
+    assert met == glob_pairs(p, n).count() > 0
+
+
+def test_long_runs_agree_with_brute_force(spark):
+    rng = random.Random(7)
+    names = sorted({"".join(rng.choice("ab\U0001f600") for _ in range(rng.randrange(1, 40))) for _ in range(200)})
+    parts = [name[i : i + size] for name in names for size in (1, 5, 6, 11, 12, 24, 30) for i in [rng.randrange(len(name))]]
+    shapes = ("*{}*", "*?{}*", "*{}?", "?{}*", "*{}*{}*", "*{}??{}", "{}?{}*", "*{}[ab]", "[!a]*{}*{}", "?{}?", "{}*{}*b")
+    patterns = sorted({rng.choice(shapes).format(*rng.sample(parts, 2)) for _ in range(400)})
+    p, n = spark.createDataFrame([(x,) for x in patterns], "pattern string"), spark.createDataFrame([(x,) for x in names], "name string")
+    expected = {(a, b) for a in patterns for b in names if fnmatch.fnmatchcase(b, a)}
+    got = [(r.pattern, r.name) for r in glob_pairs(p, n).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    covered = [r.pattern for r in covered_patterns(p, n).collect()]
+    assert sorted(covered) == sorted({a for a, _ in expected})
