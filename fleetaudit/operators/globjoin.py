@@ -113,7 +113,8 @@ def anchored_patterns(patterns: DataFrame, column: str, scope: Sequence[str] = (
     # What is left to compare once the anchors agree; NULL when nothing is. A text that a
     # matching name must contain comes first, since it is far cheaper than the regex.
     gram = F.least(run, F.lit(GRAM))
-    probe = F.when(~kind_of.isin(*CERTAIN), F.coalesce("longest.run", F.lit("")))
+    settled = kind_of.isin(*CERTAIN) | (kind_of.isin("shape", "length") & ~F.contains(marks, F.lit("S"))) | ((kind_of == "inner") & (run == gram))
+    probe = F.when(~settled, F.coalesce("longest.run", F.lit("")))
     own = F.struct("kind", "size", "tail", "anchor")
 
     def at(kind: Column, size: Column, tail: Column, anchor: Column) -> Column:
@@ -299,7 +300,7 @@ def covered_patterns(
     patterns are few enough for Spark to broadcast them, the names are not shuffled at all.
     """
     anchored = _once(anchored_patterns(patterns, pattern_column, scope))
-    by_anchor = F.col("kind").isin(*CERTAIN)
+    by_anchor = F.col("probe").isNull()
     certain, others = anchored.filter(by_anchor), anchored.filter(~by_anchor)
     keys = [HASH, *scope, *ANCHOR]
     answered = _hashed(_anchored_names(names, certain, scope), scope).select(*keys).distinct()

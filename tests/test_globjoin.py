@@ -85,3 +85,12 @@ def test_long_runs_agree_with_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == expected
     covered = [r.pattern for r in covered_patterns(p, n).collect()]
     assert sorted(covered) == sorted({a for a, _ in expected})
+
+
+def test_covered_by_anchor_alone(spark):
+    """Short contained texts, and ``?`` without sets, are answered by distinct anchors; nothing is left to compare."""
+    left = {"*ab*": False, "*a*": False, "??": False, "??*": False, "*?": False, "*abcd*": True, "[ab]": True, "?[ab]*": True, "?b*": True, "a*b": False}
+    df = spark.createDataFrame([(k,) for k in left], "pattern string")
+    assert {r.pattern: r.probe is not None for r in anchored_patterns(df, "pattern").collect()} == left
+    n = spark.createDataFrame([("xaby",), ("z",)], "name string")
+    assert {r.pattern for r in covered_patterns(df, n).collect()} == {"*ab*", "*a*", "??*", "*?", "?[ab]*"}
