@@ -103,15 +103,18 @@ def held_paths(texts: DataFrame, asked: DataFrame, scope: Sequence[str] = (), pe
 
     ``texts`` holds each mapping once (``mapping_id, properties``). It is parsed once for every
     ``per_lookup`` paths that are asked of it and is never flattened; a mapping of which very many
-    paths are asked is dealt to as many rows as it takes.
+    paths are asked is dealt to as many rows as it takes. Only such mappings are counted out to all tasks;
+    there are fewer than pairs over ``per_lookup``.
     """
     key = [*scope, "mapping_id"]
     wanted = asked.select(*key, "field").filter("mapping_id IS NOT NULL AND field IS NOT NULL").distinct()
-    counts = wanted.groupBy(*key).agg(F.ceil(F.count("*") / per_lookup).alias("lookups"))
-    dealt = wanted.join(counts, key).withColumn("lookup", F.pmod(F.xxhash64("field"), "lookups"))
+    heavy = F.broadcast(wanted.groupBy(*key).agg(F.ceil(F.count("*") / per_lookup).alias("lookups")).filter("lookups > 1"))
+    lookups = F.coalesce("lookups", F.lit(1))
+    dealt = wanted.join(heavy, key, "left").withColumn("lookup", F.pmod(F.xxhash64("field"), lookups))
     lists = dealt.groupBy(*key, "lookup").agg(F.collect_list("field").alias("wanted"))
+    copies = texts.join(heavy, key, "left").withColumn("lookup", F.explode(F.sequence(F.lit(0).cast("bigint"), lookups - 1))).drop("lookups")
     found = J.let(J.parsed(F.col("properties")), lambda doc: F.filter("wanted", lambda field: J.holds_path(doc, field)))
-    return lists.join(texts, key).select(*key, F.explode(found).alias("field"))
+    return lists.join(copies, [*key, "lookup"]).select(*key, F.explode(found).alias("field"))
 
 
 def pattern_fields(behind: DataFrame, paths: DataFrame, asked: DataFrame | None = None, scope: Sequence[str] = ()) -> DataFrame:

@@ -195,8 +195,9 @@ def distinct_mappings(mappings: DataFrame, scope: Sequence[str] = ()) -> tuple[D
 
     Indices rolled over from one template share their mapping. Equal texts fall together in the
     task that reads them, by hashing, so a text leaves a task once, whatever the number of its indices.
+    The id is 128 bits of a text's SHA-256 as bytes, since it goes with every index through several shuffles.
     """
-    keyed = mappings.withColumn("mapping_id", F.sha2("properties", 256))
+    keyed = mappings.withColumn("mapping_id", F.unhex(F.left(F.sha2("properties", 256), F.lit(32))))
     key = [*scope, "mapping_id"]
     fields = J.object_from_text(F.col("properties"))
     has_field = F.exists(F.map_values(fields), lambda v: J.as_object(v).isNotNull())

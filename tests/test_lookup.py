@@ -3,12 +3,15 @@
 import json
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from fleetaudit.functions import jsonops as J
 from fleetaudit.operators import references as R
 from fleetaudit.operators import saved_objects as O
+from fleetaudit.plans import catalog
+from tools.check_queries import compare
 
 KEYS = ("a", "b", "a.b", "", "q?", "x y", "[0]", "it's", 'say "so"', "properties", "fields")
 
@@ -74,3 +77,19 @@ def test_clusters_keep_their_own_mappings(spark):
     texts = spark.createDataFrame([("c1", "m", '{"a":{}}'), ("c2", "m", '{"b":{}}')], "cluster_id string, mapping_id string, properties string")
     asked = spark.createDataFrame([("c1", "m", "a"), ("c1", "m", "b"), ("c2", "m", "a"), ("c2", "m", "b")], "cluster_id string, mapping_id string, field string")
     assert {(r.cluster_id, r.field) for r in R.held_paths(texts, asked, ["cluster_id"]).collect()} == {("c1", "a"), ("c2", "b")}
+
+
+def test_indices_that_ask_alike_ask_once(spark, monkeypatch, tmp_path):
+    """The paths asked of a mapping are few, however many indices share it; an index that is listed twice gets its rows twice."""
+    counted = []
+    monkeypatch.setattr(R, "held_paths", lambda texts, asked, held=R.held_paths: counted.append(asked.count()) or held(texts, asked))
+    orders = spark.range(80).selectExpr("id AS o_orderkey", "id % 2 + 10 AS o_custkey")
+    orders.write.parquet(f"{tmp_path}/once/orders.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/once/orders.parquet/*.parquet'")
+    assert compare(catalog.QUERIES["mapping_lookup"](spark, f"{tmp_path}/once"), catalog.CHECKS["mapping_lookup"], connection) is None
+    orders.unionByName(orders.filter("o_orderkey = 3")).unionByName(spark.sql("SELECT 99L AS o_orderkey, CAST(NULL AS BIGINT) AS o_custkey")).write.parquet(f"{tmp_path}/twice/orders.parquet")
+    rows = catalog.QUERIES["mapping_lookup"](spark, f"{tmp_path}/twice").groupBy("index_name").count().collect()
+    found = {r.index_name: r["count"] for r in rows}
+    assert found["idx-3"] == 4 * found["idx-5"] and "idx-99" not in found
+    assert counted == [16, 16]
